@@ -70,7 +70,8 @@ class Automaton:
         for k, part in enumerate(_MARK.split(template)):
             if k % 2 == 0:
                 for w in alnum_words(part):
-                    self.words[-1][w] = self._node()
+                    at = len(self.words) - 1
+                    self.words[at][w] = self._node()
                     if plain:
                         opening.append(w)
                 continue

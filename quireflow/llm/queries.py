@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import op8_chat_windows, windows_sql
 from .licenses import op1_license_scan
+from .media import op6_media_sequences
 from .packing import op2_curve_packing
+from .pieces import op7_piece_viterbi
+from .quality_rules import op10_quality_rules, rules_sql
+from .simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_curve_packing": op2_curve_packing,
+    "op3_simhash": op3_simhash,
+    "op6_media_sequences": op6_media_sequences,
+    "op7_piece_viterbi": op7_piece_viterbi,
+    "op8_chat_windows": op8_chat_windows,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_chat_windows": windows_sql(), "op10_quality_rules": rules_sql()}
