@@ -40,8 +40,8 @@ class Rule:
 BASE_RULES = (Rule("n_words", least=50), Rule("repeat_ratio", most=0.5))
 RULES = (
     Rule("mean_word_chars", least=2.0, most=14.0),
-    Rule("symbol_ratio", most=0.1),
-    Rule("stop_ratio", least=0.02),
+    Rule("symbol_ratio", most=0.05),
+    Rule("stop_ratio", least=0.05),
     Rule("dup_line_ratio", most=0.5),
     Rule("chars_per_line", least=10.0),
 )
@@ -51,53 +51,64 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def _repeat_words(hashes: Column) -> Column:
-    """Words inside windows found twice or more, from the windows' hashes in text order."""
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # one pass over the sorted windows: a run of equal hashes gives all its places, if longer than one
-    paired = F.zip_with(placed, F.concat(F.slice(placed, 2, F.greatest(F.size(placed) - 1, F.lit(0))), F.array(F.lit(None))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    twins = F.filter(paired, lambda p: p["a"]["h"] == p["b"]["h"])
-    places = F.sort_array(F.array_distinct(F.concat(F.transform(twins, lambda p: p["a"]["i"]), F.transform(twins, lambda p: p["b"]["i"]))))
-    steps = F.zip_with(places, F.slice(places, 2, F.greatest(F.size(places) - 1, F.lit(0))), lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
-    total = F.aggregate(steps, F.lit(0), lambda s, x: s + x)
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(total).cast("long")
+def _after(array: Column) -> Column:
+    """The array without its first element."""
+    return F.slice(array, 2, F.greatest(F.size(array) - 1, F.lit(0)))
 
 
 def measured(docs: DataFrame, text_col: str = "text", name: str = "measures") -> DataFrame:
-    """The input with a struct of all measures of its text."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = docs.withColumn(name, F.struct(words.alias("words"), lines.alias("lines")))
-    w = F.col(f"{name}.words")
-    windows = F.when(F.size(w) >= WINDOW, F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WINDOW)])))
-    counted = split.withColumn(
-        name,
-        F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-            F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
-            F.size(f"{name}.lines").cast("long").alias("n_lines"),
-            (F.size(f"{name}.lines") - F.size(F.array_distinct(f"{name}.lines"))).cast("long").alias("n_dup_lines"),
-            F.coalesce(windows, F.array().cast("array<bigint>")).alias("windows"),
-        ),
+    """The input with a struct of all measures of its text.
+
+    Every array that is used more than once is a column of its own until the end: the optimizer inlines the fields of
+    structs, which would compute them once per use.
+    """
+    own = "_m"
+    while any(c.startswith(own) for c in docs.columns):
+        own = "_" + own
+    c = lambda f: F.col(own + f)
+    out = docs.withColumn(own + "text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    out = out.withColumns(
+        {
+            own + "words": F.filter(F.split(c("text"), SPACE), lambda w: w != ""),
+            own + "lines": F.filter(F.split(c("text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+            own + "n_symbols": (F.length(c("text")) - F.length(F.translate(c("text"), SYMBOLS, ""))).cast("long"),
+            own + "word_chars": F.length(F.translate(c("text"), " \t\n\x0b\f\r", "")).cast("long"),
+        }
     )
-    m = lambda f: F.col(f"{name}.{f}")
-    plain = ["n_words", "n_symbols", "word_chars", "n_stop_words", "n_lines", "n_dup_lines"]
-    summed = counted.withColumn(name, F.struct(*[m(f).alias(f) for f in plain], _repeat_words(m("windows")).alias("n_repeat_words")))
-    return summed.withColumn(
-        name,
-        F.struct(
-            f"{name}.*",
-            _ratio(m("n_repeat_words"), m("n_words")).alias("repeat_ratio"),
-            _ratio(m("word_chars"), m("n_words")).alias("mean_word_chars"),
-            _ratio(m("n_symbols"), m("word_chars")).alias("symbol_ratio"),
-            _ratio(m("n_stop_words"), m("n_words")).alias("stop_ratio"),
-            _ratio(m("n_dup_lines"), m("n_lines")).alias("dup_line_ratio"),
-            _ratio(m("word_chars"), m("n_lines")).alias("chars_per_line"),
-        ),
+    w = c("words")
+    windows = F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(WINDOW)]))
+    out = out.withColumns(
+        {
+            own + "n_words": F.size(w).cast("long"),
+            own + "n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).cast("long"),
+            own + "n_lines": F.size(c("lines")).cast("long"),
+            own + "n_dup_lines": (F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long"),
+            own + "windows": F.when(F.size(w) >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")),
+        }
     )
+    # only rows with a window found twice sort theirs, with their places: equal hashes then stand side by side
+    twice = F.size(F.array_distinct(c("windows"))) < F.size(c("windows"))
+    placed = F.array_sort(F.transform(c("windows"), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn(own + "placed", F.when(twice, placed))
+    twins = F.filter(F.zip_with(c("placed"), _after(c("placed")), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"]["h"] == p["b"]["h"])
+    out = out.withColumn(own + "twins", twins)
+    places = F.concat(F.transform(c("twins"), lambda p: p["a"]["i"]), F.transform(c("twins"), lambda p: p["b"]["i"]))
+    out = out.withColumn(own + "places", F.sort_array(F.array_distinct(places)))
+    # each place adds the words up to the next place, at most a window
+    steps = F.zip_with(c("places"), _after(c("places")), lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
+    out = out.withColumn(own + "n_repeat_words", F.coalesce(F.aggregate(steps, F.lit(0), lambda s, x: s + x), F.lit(0)).cast("long"))
+    counts = ["n_words", "n_symbols", "word_chars", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words"]
+    whole = F.struct(
+        *[c(f).alias(f) for f in counts],
+        _ratio(c("n_repeat_words"), c("n_words")).alias("repeat_ratio"),
+        _ratio(c("word_chars"), c("n_words")).alias("mean_word_chars"),
+        _ratio(c("n_symbols"), c("word_chars")).alias("symbol_ratio"),
+        _ratio(c("n_stop_words"), c("n_words")).alias("stop_ratio"),
+        _ratio(c("n_dup_lines"), c("n_lines")).alias("dup_line_ratio"),
+        _ratio(c("word_chars"), c("n_lines")).alias("chars_per_line"),
+    )
+    kept = [F.col(f"`{x}`") for x in docs.columns if x != name]
+    return out.select(*kept, whole.alias(name))
 
 
 def compiled(rules: tuple[Rule, ...], name: str = "measures") -> Column:
