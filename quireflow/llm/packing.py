@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import slices, stored, table
 
 CAPACITY, END_ID, DIMS, BITS, BUCKETS = 2048, 1, 4, 12, 256
-#: Distinct chunks whose ids a worker keeps; beyond that the memory is emptied and filled anew.
-MEMORY = 250_000
+#: Distinct chunks whose ids a worker keeps, twice; texts themselves are never cut for it.
+MEMORY = 200_000
 
 
 class ChunkEncoder:
@@ -44,35 +45,51 @@ class ChunkEncoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._encoder = tiktoken.Encoding("chunks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
         self._seen: dict[str, bytes] = {}
-
-    def _new(self, chunk: str) -> bytes:
-        if len(self._seen) >= MEMORY:
-            self._seen.clear()
-        ids = np.array(self._encoder.encode(chunk, allowed_special="all"), dtype="<u4").tobytes()
-        if len(chunk) <= 64:
-            self._seen[chunk] = ids
+        self._older: dict[str, bytes] = {}
+
+    def _code(self, chunk: str) -> bytes:
+        """Ids of a chunk; one of letters, or letters and a closing mark, is a single step of the split pattern."""
+        body, one = chunk.lstrip(" "), self._encoder._core_bpe.encode_single_piece
+        if body.isalpha() and len(chunk) - len(body) < 2:
+            ids = one(chunk.encode())
+        elif body[:-1].isalpha() and body[-1] in ".,;:!?" and len(chunk) - len(body) < 2:
+            ids = one(chunk[:-1].encode()) + one(body[-1].encode())
+        elif "<|" in chunk:
+            ids = self._encoder.encode(chunk, allowed_special="all")
+        else:
+            ids = self._encoder.encode_ordinary(chunk)
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _new(self, part: str) -> bytes:
+        if (ids := self._older.get(part)) is None:
+            ids = self._code(" " + part)
+        if len(part) <= 64:
+            self._seen[part] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
+        if len(self._seen) >= MEMORY:  # what is still in use moves on from the older half
+            self._seen, self._older = {}, self._seen
         parts = text.split(" ")
-        chunks = [parts[0]] if parts[0] else []
-        add = chunks.append
-        loose = ""
-        for part in parts[1:]:
-            if part and not part[0].isspace():
-                if loose:
-                    chunks[-1:] = [chunks[-1] + loose] if chunks else [loose]
-                    loose = ""
-                add(" " + part)
-            else:  # white space before white space stays with what stands before it
-                loose += " " + part
-        if loose:
-            chunks[-1:] = [chunks[-1] + loose] if chunks else [loose]
-        get, new = self._seen.get, self._new
-        return b"".join([get(c) or new(c) for c in chunks])
+        out = list(map(self._seen.get, parts))
+        out[0] = self._code(parts[0]) if parts[0] else b""
+        end = 0
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            if i < end:
+                continue
+            if parts[i] and not parts[i][0].isspace():
+                out[i] = self._new(parts[i])
+                continue
+            # white space before white space stays with what stands before it
+            end = i + 1
+            while end < len(parts) and (not parts[end] or parts[end][0].isspace()):
+                end += 1
+            before = (" " if i > 1 else "") + parts[i - 1]
+            out[i - 1 : end] = [self._code(" ".join([before, *parts[i:end]]))] + [b""] * (end - i)
+        return b"".join(out)
 
 
 def projection(n_ids: int, dims: int = DIMS, buckets: int = BUCKETS) -> np.ndarray:
