@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import Stored
 
-SALTS = 16
+SALTS = 4
 
 
 def _with_smallest(links: DataFrame, smallest: DataFrame) -> DataFrame:

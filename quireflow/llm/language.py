@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .common import slices, table
 
@@ -232,34 +233,35 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text", out: str = "language") -> DataFrame:
-    """The input's id and text with a struct: lang, score (mean posterior of that language), and spans, the runs of
-    words with one language (lang, first word, words) in text order."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    kind = "struct<lang:string,score:double,spans:array<struct<lang:string,first_word:int,n_words:int>>>"
-    arrow = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])))])
-    session = docs.sparkSession
-    shared = session.sparkContext.broadcast(field)  # bounded by the training sample
+_RESULT = "lang string, score double, spans array<struct<lang:string,first_word:int,n_words:int>>"
+
+
+def predict(docs: DataFrame, field: Field | None, text_col: str = "text", out: str = "language") -> DataFrame:
+    """The input (a column named like the result is replaced) with a struct: lang, score (mean posterior of that
+    language), and spans, the runs of words with one language (lang, first word, words) in text order."""
+    span = pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
+    arrow = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(span))])
+    rows = docs.drop(out).withColumn(text_col, F.col(text_col).cast("string"))
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # bounded by the training sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value) if shared.value else None
-        for batch in slices(batches, "t", 4 << 20):
-            texts = [words_of(t) if labeller else [] for t in batch.column("t").to_pylist()]
+        for batch in slices(batches, text_col, 4 << 20):
+            texts = [words_of(t) if labeller else [] for t in batch.column(text_col).to_pylist()]
             found = labeller.posteriors(texts) if labeller else [()] * len(texts)
-            rows = []
+            done = []
             for p in found:
                 if not len(p):
-                    rows.append({"lang": UND, "score": 0.0, "spans": []})
+                    done.append({"lang": UND, "score": 0.0, "spans": []})
                     continue
                 mean, best, langs = p.mean(axis=0), p.argmax(axis=1), labeller.field.langs
                 cuts = np.r_[0, np.flatnonzero(np.diff(best)) + 1, len(best)].tolist()
                 spans = [{"lang": langs[best[a]], "first_word": a, "n_words": b - a} for a, b in zip(cuts, cuts[1:], strict=False)]
                 top = int(mean.argmax())
-                rows.append({"lang": langs[top], "score": float(min(1.0, mean[top])), "spans": spans})
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t"), pa.array(rows, arrow)], ["id", "t", out])
+                done.append({"lang": langs[top], "score": float(min(1.0, mean[top])), "spans": spans})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, arrow)], [*batch.schema.names, out])
 
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return plain.mapInArrow(run, f"id {id_type}, t string, {out} {kind}").withColumnsRenamed({"id": id_col, "t": text_col})
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StructType.fromDDL(_RESULT))]))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Field | None:
@@ -270,5 +272,5 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def op5_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: predicted language and the mean posterior of its words."""
     docs = table(spark, sf_dir, "documents")
-    found = predict(docs, learn(docs))
+    found = predict(docs.select("doc_id", "text"), learn(docs))
     return found.select("doc_id", is_held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.size("language.spans").cast("long").alias("n_spans"))

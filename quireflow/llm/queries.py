@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .chat import op8_chat_windows, windows_sql
 from .language import op5_language_crf
 from .licenses import op1_license_scan
@@ -28,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op8_chat_windows": windows_sql(), "op10_quality_rules": rules_sql()}
