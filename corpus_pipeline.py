@@ -29,8 +29,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that keep all quality rules."""
-    return apply_rules(docs, name="_measures").where("_measures.kept").select(*docs.columns)
+    """Documents that keep all quality rules.
+
+    The verdict is written before it filters: the optimizer would push the filter down, and with it copies of every
+    measure it is made of.
+    """
+    judged = apply_rules(docs, name="_measures")
+    return stored(judged.select(*docs.columns, F.col("_measures.kept").alias("_kept")), "judged").where("_kept").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
