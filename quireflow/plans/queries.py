@@ -1,11 +1,411 @@
-"""Registry of the engine's own queries and their SQL."""
+"""Registry of the engine's own queries over the driver's tables, each with the SQL it is compared with."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from quireflow.functions import geometry as g
+from quireflow.functions import text as t
+from quireflow.operators import evaluation, layout, linking, metrics, tagging
+from quireflow.sources.images import first_images
+from quireflow.sources.tables import REGIONS_SQL, regions, table
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL if it has one."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---------------------------------------------------------------- scans, names, images
+
+_IMAGES = "concat('img', p_partkey::VARCHAR, CASE p_size % 5 WHEN 0 THEN '.JPG' WHEN 1 THEN '.png' WHEN 2 THEN '.txt' WHEN 3 THEN '.tiff' ELSE '.xml' END)"
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ext = F.element_at(F.array(*map(F.lit, (".JPG", ".png", ".txt", ".tiff", ".xml"))), F.col("p_size") % 5 + 1)
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("img"), F.col("p_partkey").cast("string"), ext).alias("image_name"), "p_partkey")
+
+
+@query(f"""WITH n AS (SELECT {_IMAGES} AS image_name, p_partkey FROM part),
+r AS (SELECT *, (row_number() OVER (ORDER BY image_name) - 1)::INT AS image_index FROM n)
+SELECT image_name, p_partkey, image_index FROM r WHERE image_index < 50 AND regexp_matches(lower(image_name), '\\.(jpg|jpeg|png|tiff|tif)$')""")
+def image_listing_topn(spark, sf_dir):
+    return first_images(_names(spark, sf_dir), 50)
+
+
+@query(f"""SELECT image_name, regexp_replace(image_name, '\\.[^.]*$', '') AS stem, regexp_replace(image_name, '\\.[^.]*$', '') || '.xml' AS gt_name FROM (SELECT {_IMAGES} AS image_name FROM part)""")
+def image_names(spark, sf_dir):
+    return _names(spark, sf_dir).select("image_name", t.stem(F.col("image_name")).alias("stem"), t.ground_truth_name(F.col("image_name")).alias("gt_name"))
+
+
+@query(f"WITH {REGIONS_SQL} SELECT image_name, region_idx, x / 1920.0::DOUBLE AS nx, y / 1080.0::DOUBLE AS ny, w / 1920.0::DOUBLE AS nw, h / 1080.0::DOUBLE AS nh FROM regions")
+def normalized_bbox(spark, sf_dir):
+    n = g.normalized_box(F.col("box"), F.lit(1920), F.lit(1080))
+    return regions(spark, sf_dir).select("image_name", "region_idx", *[n[c].alias(f"n{c}") for c in "xywh"])
+
+
+@query(f"WITH {REGIONS_SQL} SELECT image_name, region_idx, concat(x, ',', y, ' ', x + w, ',', y, ' ', x + w, ',', y + h, ' ', x, ',', y + h) AS coords FROM regions")
+def bbox_to_coords(spark, sf_dir):
+    return regions(spark, sf_dir).select("image_name", "region_idx", g.box_to_coords(*[F.col(f"box.{c}") for c in "xywh"]).alias("coords"))
+
+
+@query(f"WITH {REGIONS_SQL} SELECT image_name, region_idx, 4 AS n_points, x AS bx, y AS \"by\", w AS bw, h AS bh FROM regions")
+def parse_coords(spark, sf_dir):
+    points = bbox_to_coords(spark, sf_dir).select("image_name", "region_idx", g.parse_coords(F.col("coords")).alias("p"))
+    box = g.bounding_box(F.col("p"))
+    return points.select("image_name", "region_idx", F.size("p").alias("n_points"), *[box[c].alias(f"b{c}") for c in "xywh"])
+
+
+@query("""WITH s AS (SELECT p_partkey, p_size * 97 AS w, (p_partkey % 41 + 1)::INT * 83 AS h FROM part)
+SELECT p_partkey, CASE WHEN greatest(w, h) <= 1920 THEN w WHEN w >= h THEN 1920 ELSE floor(1920.0::DOUBLE * w / h)::INT END AS new_w,
+CASE WHEN greatest(w, h) <= 1920 THEN h WHEN w >= h THEN floor(1920.0::DOUBLE * h / w)::INT ELSE 1920 END AS new_h FROM s""")
+def resize_dims(spark, sf_dir):
+    size = g.resized(F.col("p_size") * 97, (F.col("p_partkey") % 41 + 1).cast("int") * 83)
+    return table(spark, sf_dir, "part").select("p_partkey", size["w"].alias("new_w"), size["h"].alias("new_h"))
+
+
+# ---------------------------------------------------------------- layout
+
+_AREA = "(x * 0 + w * h - (image_name % 7 + region_idx * 3) % 11 * w * h // 40)"
+
+
+def _masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h = F.col("box.w"), F.col("box.h")
+    loss = F.floor((F.col("image_name") % 7 + F.col("region_idx") * 3) % 11 * w * h / 40)
+    return regions(spark, sf_dir).select("image_name", F.col("region_idx").alias("mask_idx"), w.alias("w"), h.alias("h"), (w * h - loss).alias("area"), (F.col("l_returnflag") == "R").alias("has_holes"), F.lit(40_000).alias("image_px"))
+
+
+@query(f"""WITH {REGIONS_SQL},
+m AS (SELECT image_name, region_idx AS mask_idx, w, h, {_AREA} AS area, l_returnflag = 'R' AS has_holes FROM regions),
+j AS (SELECT *, count(*) OVER (PARTITION BY image_name) AS n, row_number() OVER (PARTITION BY image_name ORDER BY area DESC, mask_idx) AS r,
+      coalesce(area / 40000.0::DOUBLE > 0.01 AND area / nullif(w * h, 0) > 0.9 AND NOT has_holes, false) AS ok FROM m),
+k AS (SELECT *, bool_or(ok) OVER (PARTITION BY image_name) AS anyok FROM j)
+SELECT image_name, mask_idx, area, row_number() OVER (PARTITION BY image_name ORDER BY area DESC, mask_idx) - 1 AS region_idx
+FROM k WHERE n = 1 OR ok OR (NOT anyok AND r = 1)""")
+def filter_masks(spark, sf_dir):
+    return layout.filter_masks(_masks(spark, sf_dir)).select("image_name", "mask_idx", "area", "region_idx")
+
+
+_PAIRS = """gt AS (SELECT * FROM regions WHERE l_linestatus = 'O'), pr AS (SELECT * FROM regions WHERE l_returnflag <> 'N'),
+pairs AS (
+  SELECT image_name, gt_idx, pred_idx, i / (aw * ah + bw * bh - i)::DOUBLE AS iou FROM (
+    SELECT gt.image_name, gt.region_idx AS gt_idx, pr.region_idx AS pred_idx, gt.w AS aw, gt.h AS ah, pr.w AS bw, pr.h AS bh,
+      greatest(0, least(gt.x + gt.w, pr.x + pr.w) - greatest(gt.x, pr.x)) * greatest(0, least(gt.y + gt.h, pr.y + pr.h) - greatest(gt.y, pr.y)) AS i
+    FROM gt JOIN pr ON gt.image_name = pr.image_name) WHERE i > 0)"""
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = regions(spark, sf_dir)
+    return r.where("l_linestatus = 'O'"), r.where("l_returnflag <> 'N'")
+
+
+@query(f"WITH {REGIONS_SQL}, {_PAIRS} SELECT image_name, gt_idx, pred_idx, round(iou, 9) AS iou FROM pairs")
+def region_pairs_iou(spark, sf_dir):
+    return layout.region_pairs(*_sides(spark, sf_dir)).withColumn("iou", F.round("iou", 9))
+
+
+@query(f"""WITH {REGIONS_SQL}, {_PAIRS}, best AS (SELECT image_name, gt_idx, max(iou) AS m FROM pairs GROUP BY ALL), s AS (SELECT image_name, sum(m) AS s, count(*) AS c FROM best GROUP BY ALL),
+n AS (SELECT image_name, sum(a)::BIGINT AS n_gt, sum(b)::BIGINT AS n_pred FROM (SELECT image_name, 1 AS a, 0 AS b FROM gt UNION ALL SELECT image_name, 0, 1 FROM pr) GROUP BY ALL)
+SELECT image_name, n_gt, n_pred, round(coalesce(s, 0) / nullif(coalesce(c, 0) + abs(n_gt - n_pred), 0), 9) AS avg_iou FROM n LEFT JOIN s USING (image_name)""")
+def layout_avg_iou(spark, sf_dir):
+    sides = _sides(spark, sf_dir)
+    return layout.average_iou(layout.region_pairs(*sides), layout.region_counts(*sides)).withColumn("avg_iou", F.round("avg_iou", 9))
+
+
+# ---------------------------------------------------------------- readings
+
+_READ = "SELECT a.p_partkey AS k, a.p_name || ' ' || a.p_type AS truth, b.p_name || ' ' || b.p_type AS read FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1"
+
+
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("truth"))
+    nxt = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("truth").alias("read"))
+    return p.join(nxt, "p_partkey").withColumnRenamed("p_partkey", "k")
+
+
+@query(f"SELECT k, round(levenshtein(read, truth) / length(truth), 9) AS cer FROM ({_READ})")
+def cer_per_region(spark, sf_dir):
+    return evaluation.region_errors(_readings(spark, sf_dir)).select("k", F.round("cer", 9).alias("cer"))
+
+
+@query(f"SELECT round(sum(levenshtein(read, truth)) / sum(length(truth)), 9) AS cer FROM ({_READ})")
+def cer_corpus(spark, sf_dir):
+    r = _readings(spark, sf_dir)
+    return r.agg(F.round(F.sum(F.levenshtein("read", "truth")) / F.sum(F.length("truth")), 9).alias("cer"))
+
+
+@query("SELECT a.l_orderkey FROM (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linestatus = 'O' GROUP BY ALL) a JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL) b ON a.l_orderkey = b.l_orderkey AND a.n = b.n")
+def cer_count_gate(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return evaluation.count_gate(lines.where("l_linestatus = 'O'"), lines.where("l_returnflag <> 'N'"), "l_orderkey")
+
+
+@query("""WITH s AS (SELECT p_partkey // 2 AS k, (p_partkey % 2)::INT AS i, p_name AS g, p_type || ' ' || reverse(p_name) AS p FROM part),
+f AS (SELECT k FROM s GROUP BY k HAVING count(*) = 2),
+t AS (SELECT a.k, a.g AS g0, b.g AS g1, a.p AS p0, b.p AS p1 FROM s a JOIN s b ON a.k = b.k AND a.i = 0 AND b.i = 1 JOIN f ON f.k = a.k),
+c AS (SELECT *, levenshtein(p0, g0) + levenshtein(p1, g1) <= levenshtein(p1, g0) + levenshtein(p0, g1) AS same FROM t)
+SELECT k, 0 AS bb_index, round(CASE WHEN same THEN levenshtein(p0, g0) ELSE levenshtein(p1, g0) END / length(g0), 9) AS cer FROM c
+UNION ALL SELECT k, 1, round(CASE WHEN same THEN levenshtein(p1, g1) ELSE levenshtein(p0, g1) END / length(g1), 9) FROM c""")
+def cer_assignment(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 2).alias("k"), (F.col("p_partkey") % 2).cast("int").alias("idx"), "p_name", "p_type")
+    full = part.groupBy("k").count().where("count = 2").select("k")
+    part = part.join(full, "k")
+    gt = part.select("k", "idx", F.lit("gt").alias("side"), F.col("p_name").alias("text"))
+    pred = part.select("k", "idx", F.lit("pred").alias("side"), F.concat_ws(" ", "p_type", F.reverse("p_name")).alias("text"))
+    return evaluation.assigned_errors(gt.unionByName(pred), "k").withColumn("cer", F.round("cer", 9))
+
+
+@query(r"""SELECT doc_id, replace(t, chr(13) || chr(10), chr(10)) AS unix, regexp_replace(replace(u, chr(10) || chr(10), chr(10)), '^\s+|\s+$', '', 'g') AS cleaned
+FROM (SELECT doc_id, replace(text, chr(10), chr(13) || chr(10)) AS t, chr(10) || replace(text, '. ', '.' || chr(10) || chr(10)) || '  ' AS u FROM documents)""")
+def newline_normalise(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    windows = F.replace("text", F.lit("\n"), F.lit("\r\n"))
+    answer = F.concat(F.lit("\n"), F.replace("text", F.lit(". "), F.lit(".\n\n")), F.lit("  "))
+    return d.select("doc_id", t.unix_newlines(windows).alias("unix"), t.cleaned_reading(answer).alias("cleaned"))
+
+
+# ---------------------------------------------------------------- ground truth
+
+_CUSTOM = "'readingOrder {index:' || l_linenumber || ';} MfN_Geo_Town {offset:' || l_partkey || '; length:' || l_suppkey || '; Geonames:' || l_orderkey || ';}'"
+
+
+@query("SELECT l_orderkey, l_linenumber, 2 AS n_attrs, l_partkey AS \"offset\", l_suppkey AS \"length\", l_orderkey AS geoname_id FROM lineitem")
+def custom_attr_parse(spark, sf_dir):
+    custom = F.expr(_CUSTOM.replace("||", "||"))
+    attrs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", t.custom_attributes(custom).alias("a"))
+    body = F.filter("a", lambda x: x["tag"] == "MfN_Geo_Town")[0]["body"]
+    return attrs.select("l_orderkey", "l_linenumber", F.size("a").alias("n_attrs"), *[t.attribute_value(body, k).cast("bigint").alias(n) for k, n in (("offset", "offset"), ("length", "length"), ("Geonames", "geoname_id"))])
+
+
+@query("SELECT conv_id, turn, coalesce(sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM conversations")
+def gt_line_offsets(spark, sf_dir):
+    return evaluation.line_offsets(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text").select("conv_id", "turn", F.col("start").cast("long").alias("start"))
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+def gt_text_join(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(t.ordered_join(F.col("turn"), F.col("text"), "\n\n").alias("text"))
+
+
+@query("SELECT d.doc_id, l.quality, l.doc_id IS NOT NULL AS has_truth FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def gt_left_join(spark, sf_dir):
+    truth = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(True).alias("has_truth"))
+    return table(spark, sf_dir, "documents").select("doc_id").join(truth, "doc_id", "left").select("doc_id", "quality", F.coalesce("has_truth", F.lit(False)).alias("has_truth"))
+
+
+# ---------------------------------------------------------------- tags
+
+#: A label's text: name, date, type, address, sex sign and coordinates, by the part's key.
+_LABEL = """p_name || ', ' || (p_partkey % 28 + 1) || '.' || (p_partkey % 12 + 1) || '.19' || lpad((p_partkey % 100)::VARCHAR, 2, '0') || ' '
+ || CASE p_size % 4 WHEN 0 THEN 'Holotype' WHEN 1 THEN 'paratypus' WHEN 2 THEN 'atype' ELSE 'x' END
+ || CASE WHEN p_partkey % 3 = 0 THEN ' http://coll.mfn-berlin.de/u/ab' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') ELSE '' END
+ || CASE WHEN p_partkey % 5 = 0 THEN ' ' || chr(9794) ELSE '' END
+ || ' ' || (p_partkey % 90) || chr(176) || (p_partkey % 60) || '''' || CASE p_partkey % 4 WHEN 0 THEN 'N' WHEN 1 THEN 'E' WHEN 2 THEN 'S' ELSE 'W' END"""
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_partkey")
+    pick = lambda c, *v: F.element_at(F.array(*map(F.lit, v)), (c + 1).cast("int"))
+    text = F.concat(
+        "p_name", F.lit(", "), n % 28 + 1, F.lit("."), n % 12 + 1, F.lit(".19"), F.lpad((n % 100).cast("string"), 2, "0"), F.lit(" "), pick(F.col("p_size") % 4, "Holotype", "paratypus", "atype", "x"),
+        F.when(n % 3 == 0, F.concat(F.lit(" http://coll.mfn-berlin.de/u/ab"), F.lpad((n % 10000).cast("string"), 4, "0"))).otherwise(F.lit("")),
+        F.when(n % 5 == 0, F.lit(" ♂")).otherwise(F.lit("")), F.lit(" "), n % 90, F.lit("°"), n % 60, F.lit("'"), pick(n % 4, "N", "E", "S", "W"),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
+
+
+def _tag_query(name: str, label: str, found: str):
+    """found: SQL for the tagged text, null without a tag; each text has one at most."""
+
+    def f(spark, sf_dir):
+        tagged = tagging.with_tags(_labels(spark, sf_dir), labels=(label,))
+        s = tagged.select("p_partkey", F.explode("tags").alias("s"))
+        return s.select("p_partkey", "s.label", "s.start", "s.end", F.col("s.text").alias("tagged"))
+
+    f.__name__ = name
+    query(f"""WITH l AS (SELECT p_partkey, p_size, {_LABEL} AS text FROM part), s AS (SELECT p_partkey, text, {found} AS tagged FROM l)
+SELECT p_partkey, '{label}' AS label, instr(text, tagged) - 1 AS start, (instr(text, tagged) - 1 + length(tagged)) AS "end", tagged FROM s WHERE tagged <> ''""")(f)
+
+
+_DEG = "(p_partkey % 90) || chr(176) || (p_partkey % 60) || ''''"
+_tag_query("tag_dates", "MfN_GatheringDate", r"regexp_extract(text, '\d{1,2}\.\d{1,2}\.\d{4}')")
+_tag_query("tag_types", "MfN_Type", r"regexp_extract(text, '\b(?i:holotype|paratypus)\b')")
+_tag_query("tag_nuri", "MfN_NURI", r"regexp_extract(text, 'http://coll\.mfn-berlin\.de/u/[a-z0-9]{6}')")
+_tag_query("tag_sex", "MfN_Sex", "regexp_extract(text, chr(9794))")
+_tag_query("tag_lat", "MfN_Geo_Latitude", f"CASE p_partkey % 4 WHEN 0 THEN {_DEG} || 'N' WHEN 2 THEN {_DEG} || 'S' END")
+_tag_query("tag_lon", "MfN_Geo_Longitude", f"CASE p_partkey % 4 WHEN 1 THEN {_DEG} || 'E' WHEN 3 THEN {_DEG} || 'W' END")
+
+_SPANS = """SELECT image_name, region_idx, x AS start, x + w AS "end", l_returnflag AS label FROM regions"""
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = regions(spark, sf_dir)
+    return r.select("image_name", "region_idx", F.col("box.x").alias("start"), (F.col("box.x") + F.col("box.w")).alias("end"), F.col("l_returnflag").alias("label"))
+
+
+_SCORES = """coalesce(tp / nullif(tp + fp, 0), 0) AS p, coalesce(tp / nullif(tp + fn, 0), 0) AS r"""
+_F1 = "round_even(p * 100, 2) AS precision, round_even(r * 100, 2) AS recall, round_even(coalesce(2 * p * r / nullif(p + r, 0), 0) * 100, 2) AS f1"
+
+
+@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT DISTINCT image_name, start, "end", label FROM s WHERE region_idx % 2 = 0), p AS (SELECT DISTINCT image_name, start, "end", label FROM s WHERE region_idx % 3 <> 1),
+b AS (SELECT coalesce(g.image_name, p.image_name) % 10 AS grp, g.label IS NOT NULL AS ing, p.label IS NOT NULL AS inp FROM g FULL JOIN p ON g.image_name = p.image_name AND g.start = p.start AND g."end" = p."end" AND g.label = p.label),
+c AS (SELECT grp, count_if(ing AND inp)::BIGINT AS tp, count_if(NOT ing)::BIGINT AS fp, count_if(NOT inp)::BIGINT AS fn FROM b GROUP BY grp), q AS (SELECT *, {_SCORES} FROM c)
+SELECT grp, tp, fp, fn, {_F1} FROM q""")
+def tag_prf(spark, sf_dir):
+    s = _spans(spark, sf_dir).withColumn("grp", F.col("image_name") % 10)
+    return evaluation.tag_scores(s.where("region_idx % 2 = 0"), s.where("region_idx % 3 <> 1"), ["grp", "image_name", "start", "end", "label"], ["grp"])
+
+
+@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT image_name, start, "end", label FROM s WHERE region_idx = 0)
+SELECT s.image_name, s.region_idx, count_if(g.label = s.label AND g.start <= s.start)::BIGINT AS tp FROM s JOIN g ON s.image_name = g.image_name GROUP BY ALL""")
+def tag_first_region(spark, sf_dir):
+    s = _spans(spark, sf_dir)
+    first = s.where("region_idx = 0").select("image_name", F.col("start").alias("g_start"), F.col("label").alias("g_label"))
+    return s.join(first, "image_name").groupBy("image_name", "region_idx").agg(F.count_if((F.col("g_label") == F.col("label")) & (F.col("g_start") <= F.col("start"))).alias("tp"))
+
+
+# ---------------------------------------------------------------- links
+
+_NAMED = "SELECT c_custkey AS image_name, CASE WHEN c_custkey % 3 = 0 THEN 'MfN_Geo_Town' WHEN c_custkey % 3 = 1 THEN 'MfN_Geo_Country' ELSE 'MfN_Sex' END AS label, 'NATION_' || (c_nationkey + c_custkey % 4) AS text, c_nationkey FROM customer"
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    label = F.when(k % 3 == 0, "MfN_Geo_Town").when(k % 3 == 1, "MfN_Geo_Country").otherwise("MfN_Sex")
+    return table(spark, sf_dir, "customer").select(k.alias("image_name"), label.alias("label"), F.concat(F.lit("NATION_"), (F.col("c_nationkey") + k % 4).cast("string")).alias("text"), "c_nationkey")
+
+
+def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    ids = F.array(F.struct(F.lit(0).alias("rank"), F.col("n_nationkey").cast("bigint").alias("geoname_id")), F.struct(F.lit(1).alias("rank"), (F.col("n_nationkey") + 1000).cast("bigint").alias("geoname_id")))
+    return n.select(F.col("n_name").alias("name"), F.explode(ids).alias("i")).select("name", "i.*")
+
+
+@query(f"SELECT image_name, label, text, n_nationkey || ',' || (n_nationkey + 1000) AS geoname_ids FROM ({_NAMED}) s JOIN nation ON text = n_name WHERE label <> 'MfN_Sex'")
+def link_gazetteer(spark, sf_dir):
+    linked = linking.link_spans(_places(spark, sf_dir), _gazetteer(spark, sf_dir))
+    return linked.select("image_name", "label", "text", F.array_join("geoname_ids", ",").alias("geoname_ids"))
+
+
+@query(f"""WITH s AS ({_NAMED}), q AS (SELECT DISTINCT text FROM s WHERE label <> 'MfN_Sex'), n AS (SELECT q.text, n_nationkey AS id, levenshtein(q.text, n_name) AS d FROM q JOIN nation ON levenshtein(q.text, n_name) <= 1),
+i AS (SELECT text, string_agg(id::VARCHAR || ',' || (id + 0)::VARCHAR, ';' ORDER BY d, id) AS ids FROM n GROUP BY text) SELECT image_name, text, ids FROM s JOIN i USING (text) WHERE label <> 'MfN_Sex'""")
+def link_fuzzy(spark, sf_dir):
+    gaz = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit(0).alias("rank"), F.col("n_nationkey").cast("bigint").alias("geoname_id"))
+    ids = F.array_join(F.transform("geoname_ids", lambda i: F.concat_ws(",", i.cast("string"), i.cast("string"))), ";")
+    return linking.link_spans(_places(spark, sf_dir), gaz, distance=1).select("image_name", "text", ids.alias("ids"))
+
+
+@query(f"""WITH s AS ({_NAMED}), v AS (SELECT image_name // 5 AS image_name, label, text, c_nationkey FROM s), g AS (SELECT image_name, text, CASE WHEN c_nationkey % 6 = 0 THEN NULL ELSE c_nationkey END AS id FROM v WHERE label <> 'MfN_Sex'),
+p AS (SELECT image_name, text, n_nationkey AS nid FROM v JOIN nation ON text = n_name WHERE label <> 'MfN_Sex'),
+m AS (SELECT g.image_name, count_if(id = nid OR id = nid + 1000)::BIGINT AS tp, count_if(NOT (id = nid OR id = nid + 1000))::BIGINT AS fp FROM g JOIN p ON g.image_name = p.image_name AND g.text = p.text WHERE id IS NOT NULL GROUP BY ALL),
+i AS (SELECT image_name FROM g UNION SELECT image_name FROM p), c AS (SELECT image_name, count(id) AS n FROM g GROUP BY ALL),
+a AS (SELECT i.image_name, coalesce(n, 0) > 0 AS valid, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, 0::BIGINT AS fn FROM i LEFT JOIN c USING (image_name) LEFT JOIN m USING (image_name)), q AS (SELECT *, {_SCORES} FROM a)
+SELECT image_name, valid, tp, fp, fn, CASE WHEN valid THEN precision END AS precision, CASE WHEN valid THEN recall END AS recall, CASE WHEN valid THEN f1 END AS f1 FROM (SELECT *, {_F1} FROM q)""")
+def link_prf(spark, sf_dir):
+    places = _places(spark, sf_dir).where("label <> 'MfN_Sex'").withColumn("image_name", F.floor(F.col("image_name") / 5))
+    truth = places.select("image_name", "text", F.when(F.col("c_nationkey") % 6 != 0, F.col("c_nationkey")).cast("bigint").alias("geoname_id"))
+    return evaluation.link_scores(truth, linking.link_spans(places, _gazetteer(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- outputs
+
+@query(f"""WITH {REGIONS_SQL} SELECT image_name, region_idx, 'readingOrder {{index:' || region_idx || ';}} ' || l_returnflag || ' {{offset:' || x || '; length:' || w || ';}}' AS custom FROM regions""")
+def page_region_assembly(spark, sf_dir):
+    from quireflow.sources.page_sink import custom_string
+
+    spans = F.array(F.struct(F.col("label"), F.col("start"), F.col("end")))
+    return _spans(spark, sf_dir).select("image_name", "region_idx", custom_string(F.col("region_idx"), spans).alias("custom"))
+
+
+@query(f"""WITH {REGIONS_SQL} SELECT image_name, '{{"image_index":' || image_name || ',"regions":[' || string_agg('{{"bbox":[' || x || ',' || y || ',' || w || ',' || h || '],"text":"' || l_returnflag || '"}}', ',' ORDER BY region_idx) || ']}}' AS json FROM regions GROUP BY image_name""")
+def ocr_json_out(spark, sf_dir):
+    from quireflow.sources.page_sink import recognition_json
+
+    r = regions(spark, sf_dir).withColumn("text", F.col("l_returnflag")).withColumn("image_index", F.col("image_name"))
+    return recognition_json(r)
+
+
+@query()
+def page_xml_out(spark, sf_dir):
+    from quireflow.sources.page_sink import page_xml
+
+    r = regions(spark, sf_dir).select("image_name", "region_idx", "box", F.col("l_returnflag").alias("text"), F.array(F.struct(F.lit("MfN_Sex").alias("label"), F.lit(0).alias("start"), F.lit(1).alias("end"))).alias("spans"))
+    return page_xml(r.withColumn("width", F.lit(1920)).withColumn("height", F.lit(1080)))
+
+
+# ---------------------------------------------------------------- experiment metrics
+
+_KINDS = ["click", "view", "error", "purchase", "signup"]
+
+
+@query("SELECT user_id, round(avg(CASE WHEN event_type = 'click' THEN value END), 6) AS click, round(avg(CASE WHEN event_type = 'view' THEN value END), 6) AS view FROM events WHERE event_type IN ('click', 'view') GROUP BY user_id")
+def metric_pivot(spark, sf_dir):
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    return metrics.pivoted(e, "user_id", "event_type", "value", ["click", "view"]).select("user_id", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
+
+
+@query("SELECT user_id AS step, event_type AS name, value FROM events WHERE event_type NOT IN ('click', 'view')")
+def metric_split(spark, sf_dir):
+    return table(spark, sf_dir, "events").where(~F.col("event_type").isin("click", "view")).select(F.col("user_id").alias("step"), F.col("event_type").alias("name"), "value")
+
+
+@query("SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS bbox_index FROM events")
+def metric_event_index(spark, sf_dir):
+    w = Window.partitionBy("user_id", "event_type").orderBy("event_id")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", (F.row_number().over(w) - 1).alias("bbox_index"))
+
+
+@query("SELECT count(*) AS n, count(v) AS n_valid, count(v) / count(*)::DOUBLE AS coverage FROM (SELECT CASE WHEN event_type <> 'error' THEN value END AS v FROM events)")
+def metric_coverage(spark, sf_dir):
+    return metrics.coverage(table(spark, sf_dir, "events").select(F.when(F.col("event_type") != "error", F.col("value")).alias("v")), "v")
+
+
+@query("SELECT event_id, value FROM events WHERE event_type <> 'error'")
+def metric_dropna(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")).na.drop(subset=["value"])
+
+
+@query("WITH b AS (SELECT min(value) AS lo, max(value) AS hi FROM events) SELECT least(floor((value - lo) / (hi - lo) * 50), 49)::INT AS bin, count(*) AS n FROM events, b GROUP BY 1")
+def metric_histogram(spark, sf_dir):
+    return metrics.histogram(table(spark, sf_dir, "events"), "value", 50)
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
+def metric_last_row(spark, sf_dir):
+    return metrics.last_rows(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), "user_id", ["event_id"])
+
+
+@query("SELECT b AS batch, sum(n) OVER (ORDER BY b)::BIGINT AS n, round(sum(s) OVER (ORDER BY b), 4) AS total FROM (SELECT event_id // 500 AS b, count(*) AS n, sum(value) AS s FROM events GROUP BY ALL)")
+def metric_flush_cumulative(spark, sf_dir):
+    return metrics.cumulative_flushes(table(spark, sf_dir, "events"), "event_id", 500, "value").withColumn("total", F.round("total", 4))
+
+
+@query("SELECT coalesce(a.event_id, b.event_id) AS event_id, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 6) AS difference FROM (SELECT * FROM events WHERE event_id % 3 <> 0) a FULL JOIN (SELECT event_id, value * 2 AS value FROM events WHERE event_id % 2 = 0) b ON a.event_id = b.event_id")
+def run_comparison(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    other = e.where("event_id % 2 = 0").withColumn("value", F.col("value") * 2)
+    return metrics.compared_runs(e.where("event_id % 3 <> 0"), other, ["event_id"], "value").withColumn("difference", F.round("difference", 6))
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, event_type, value FROM events WHERE value > 50")
+def event_union(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return e.where("event_type = 'click'").unionByName(e.where("value > 50"))
+
+
+@query("SELECT event_id, (json_extract(props, '$.k'))::INT AS k FROM events")
+def event_props(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
