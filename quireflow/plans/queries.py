@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from quireflow.functions import text as t
 from quireflow.operators import evaluation, layout, linking, metrics, tagging
 from quireflow.sources.images import first_images
 from quireflow.sources.tables import REGIONS_SQL, regions, table
+from quireflow.streaming.flush import flush_metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -409,3 +411,12 @@ def event_union(spark, sf_dir):
 @query("SELECT event_id, (json_extract(props, '$.k'))::INT AS k FROM events")
 def event_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
+def stream_flush(spark, sf_dir):
+    """The metric stream run to its end over all files there are; its sink's last flush holds the whole run."""
+    base = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/stream-{uuid.uuid4().hex}"
+    kind = "event_id bigint, user_id bigint, event_type string, value double"
+    flush_metrics(spark, sf_dir, kind, 1, f"{base}/out", f"{base}/state", "event_type", "value", "events.parquet").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_type", "n", F.round("total", 4).alias("total"))

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 
-def flush_metrics(spark: SparkSession, source: str, schema, files_per_batch: int, sink: str, checkpoint: str, key: str, value: str) -> StreamingQuery:
+def flush_metrics(spark: SparkSession, source: str, schema, files_per_batch: int, sink: str, checkpoint: str, key: str, value: str, names: str = "*.parquet") -> StreamingQuery:
     """Every `files_per_batch` new files, the cumulative (key, n, total) of the run replaces the sink's table.
 
     State is the aggregation's; it survives restarts through the checkpoint, and a new run takes a new one.
     """
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", names).parquet(source)
     totals = files.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
 
     def write(batch: DataFrame, number: int) -> None:
