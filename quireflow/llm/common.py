@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores added while the input has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lowered_words(text: str | None) -> list[bytes]:
     """A-Z lower-cased, split at space and 0x09-0x0D; null gives no words."""
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
