@@ -1,13 +1,17 @@
 """SentencePiece encoding and decoding by a shared-prefix Viterbi search.
 
-Text is marked as the vocabulary's trainer marks it (a leading mark, spaces as marks) and parted into marked words;
-no piece of the vocabulary crosses from a word's letters into the next mark, so words are coded independently. The
-distinct words of a batch are sorted, which lays them out as the leaves of a trie in depth-first order: for each
-word only the positions behind its common prefix with the word before are searched, the scores before are reused.
-Characters without a piece fall back to byte pieces after the search.
+Text is marked as the format has it (a leading mark, spaces as marks) and parted into marked words; no piece of the
+vocabulary crosses from a word's characters into the next mark, so words are coded independently. The distinct words of a
+batch are sorted, which is the depth-first order of their trie: each word keeps the forward scores of the prefix that it
+shares with the word before and is searched behind it only. A position looks for the pieces that end there in a
+trie of the vocabulary, kept from each piece's last character to its first, and stops where no piece goes on.
+Characters without a piece become byte pieces after the search.
+
+Ids are those of the best total score under the vocabulary's scores. The text itself is coded: a normaliser that a model file
+may name is not applied, so that every text is restored.
 
 Edge cases: null and empty texts have no pieces and decode to an empty text; an empty table gives an empty result;
-repeated rows are coded one by one (each distinct word once a batch); a mark written in the text itself decodes to a
+repeated rows are coded one by one (each distinct word once a batch); ties go to the longer last piece; a mark written in the text itself decodes to a
 space, as the format has it, and is reported as not restored; other columns are left alone. Texts of any length are
 coded whole.
 """
@@ -27,7 +31,7 @@ from .common import slices, table
 MARK = "▁"
 #: What an unknown character costs below the worst piece (a fixed value of the format).
 UNKNOWN_PENALTY = 10.0
-#: Distinct words whose ids a worker keeps.
+#: Distinct words whose ids a worker keeps, twice.
 MEMORY = 200_000
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -46,115 +50,158 @@ class Vocabulary:
         self.scores = {self.pieces[i]: sp.get_score(i) for i in plain}
         self.ids = {self.pieces[i]: i for i in plain}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.longest = max(map(len, self.ids))
         self.unknown_score = min(self.scores.values()) - UNKNOWN_PENALTY
-        #: Every prefix of a piece, so that a search stops where no piece can follow.
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Nodes by a piece's characters from last to first; the empty key holds the score of the piece that is complete.
+        self.trie: dict = {}
+        for piece, score in self.scores.items():
+            node = self.trie
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = score
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        # what each id spells
+        spelt = [p.replace(MARK, " ").encode() for p in self.pieces]
+        for value, i in self.bytes.items():
+            spelt[i] = bytes([value])
+        self.spelt = np.frombuffer(b"".join(spelt), np.uint8)
+        self.lengths = np.array([len(x) for x in spelt], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self._seen: dict[str, tuple[int, ...]] = {}
+        self._seen: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
-    def _search(self, words: list[str]) -> None:
-        """Codes sorted distinct words; state[i] = (score, start of the last piece) of a word's first i characters.
+    def search(self, words: list[str]) -> list[bytes]:
+        """Ids of sorted distinct marked words, little-endian unsigned 32 bits.
 
-        A position's entry depends on the characters before it only, so a common prefix keeps its entries.
+        best and back hold, for a word's first i characters, the score and the start of the last piece. They depend on those
+        characters only, so what a word shares with the one before is kept.
         """
-        scores, prefixes, longest, unknown = self.v.scores, self.v.prefixes, self.v.longest, self.v.unknown_score
+        trie, unknown, out = self.v.trie, self.v.unknown_score, []
         best, back, last = [0.0], [0], ""
         for word in words:
             same, most = 0, min(len(last), len(word))
             while same < most and last[same] == word[same]:
                 same += 1
             del best[same + 1 :], back[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                top, at = best[end - 1] + scores.get(word[end - 1], unknown), end - 1
-                for start in range(end - 2, max(-1, end - longest - 1), -1):
-                    if (s := scores.get(word[start:end])) is not None and best[start] + s >= top:
-                        top, at = best[start] + s, start
+            for start in range(same, len(word)):
+                top, at, node = best[start] + unknown, start, trie.get(word[start])
+                while node is not None:
+                    if (s := node.get("")) is not None and (s := best[start] + s) >= top:
+                        top, at = s, start
+                    start -= 1
+                    node = node.get(word[start]) if start >= 0 else None
                 best.append(top)
                 back.append(at)
-            last, end, out = word, len(word), []
+            last, end, found = word, len(word), []
             while end:
-                piece = word[back[end] : end]
-                out.extend(self._ids(piece))
-                end = back[end]
-            self._seen[word] = tuple(reversed(out))
-
-    def _ids(self, piece: str) -> list[int]:
-        """Reversed ids of a piece, or of an unknown character's bytes."""
-        if (i := self.v.ids.get(piece)) is not None:
-            return [i]
+                start = back[end]
+                found.append(self._ids(word[start:end]))
+                end = start
+            out.append(b"".join(reversed(found)))
+        return out
+
+    def _ids(self, piece: str) -> bytes:
+        """Ids of a piece, or of an unknown character's bytes."""
+        if (i := self.v.packed.get(piece)) is not None:
+            return i
         raw = piece.encode("utf-8", "surrogatepass")
-        return [self.v.bytes[b] for b in reversed(raw)] if self.v.bytes else [self.v.unknown]
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        parted = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = {w for words in parted for w in words if w not in self._seen}
-        if len(self._seen) + len(new) > MEMORY:
-            self._seen.clear()
-            new = {w for words in parted for w in words}
-        self._search(sorted(new))
-        seen = self._seen
-        return [[i for w in words for i in seen[w]] for words in parted]
-
-
-def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
-    """The text of a list of ids; byte pieces become the characters they spell."""
-    out: list[bytes] = []
-    pieces, byte_of = vocabulary.pieces, vocabulary.byte_of
-    for i in ids:
-        out.append(bytes([byte_of[i]]) if i in byte_of else pieces[i].encode())
-    text = b"".join(out).decode("utf-8", "replace").replace(MARK, " ")
-    return text[1:] if text.startswith(" ") else text
+        return b"".join((self.v.bytes[b] if self.v.bytes else self.v.unknown).to_bytes(4, "little") for b in (raw if self.v.bytes else raw[:1]))
+
+    @staticmethod
+    def _parted(text: str | None) -> list[str]:
+        """Marked words, those with one mark and nothing else special without it."""
+        if not text:
+            return []
+        parts = text.split(" ")
+        if "" not in parts and MARK not in text:
+            return parts
+        return [w[1:] if w.rfind(MARK) == 0 and len(w) > 1 else w for w in _WORDS.findall(MARK + text.replace(" ", MARK))]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        parted = [self._parted(t) for t in texts]
+        new: set[str] = set()
+        for words in parted:
+            new.update(words)
+        if len(self._seen) >= MEMORY:  # what is still in use moves on from the older half
+            self._seen, self._older = {}, self._seen
+        new.difference_update(self._seen)
+        for word in new.intersection(self._older):
+            self._seen[word] = self._older[word]
+        new.difference_update(self._older)
+        marked = {w if w[0] == MARK else MARK + w: w for w in new}
+        ordered = sorted(marked)
+        self._seen.update(zip(map(marked.__getitem__, ordered), self.search(ordered), strict=True))
+        ids = self._seen.__getitem__
+        return [b"".join(map(ids, words)) for words in parted]
+
+
+def decode(vocabulary: Vocabulary, coded: list[bytes]) -> list[str]:
+    """The texts of lists of ids (little-endian unsigned 32 bits); byte pieces become the characters they spell."""
+    ids = np.frombuffer(b"".join(coded), "<u4")
+    lengths = vocabulary.lengths[ids]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    # each byte's place in the spelt pieces: its piece's start there, and how far it is from its piece's first byte
+    places = np.repeat(vocabulary.starts[ids] - ends[:-1], lengths) + np.arange(ends[-1])
+    whole = vocabulary.spelt[places].tobytes()
+    at = ends[np.cumsum([0] + [len(c) // 4 for c in coded])].tolist()
+    texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
+    return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, text and ids array. Narrow: no shuffle."""
+    """Per row: id, text and ids (binary: little-endian unsigned 32 bits). Narrow: no shuffle."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(model))
         for batch in slices(batches, "t", 2 << 20):
-            coded = encoder.encode(batch.column("t").to_pylist())
-            ends = np.cumsum([0] + [len(c) for c in coded])
-            flat = np.fromiter((i for c in coded for i in c), dtype=np.int32, count=int(ends[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            ids = pa.array(encoder.encode(batch.column("t").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t"), ids], ["id", "t", "ids"])
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return plain.mapInArrow(run, f"id {id_type}, t string, ids array<int>").withColumnsRenamed({"id": id_col, "t": text_col})
+    return plain.mapInArrow(run, f"id {id_type}, t string, ids binary").withColumnsRenamed({"id": id_col, "t": text_col})
 
 
-def decode_documents(coded: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of encode_documents: id, ids, and decoded, the text its ids spell, with restored (equal to the text)."""
+def decode_documents(coded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """Per row: id and decoded, the text that its ids spell (none: empty)."""
     id_type = coded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
+        for batch in slices(batches, "ids", 2 << 20):
+            texts = decode(vocabulary, [i or b"" for i in batch.column("ids").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], ["id", "decoded"])
+
+    plain = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return plain.mapInArrow(run, f"id {id_type}, decoded string").withColumnRenamed("id", id_col)
+
+
+def restored_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ids, decoded (from the ids alone) and restored (is it the text?), in one pass over the texts."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(Vocabulary(model))
         for batch in slices(batches, "t", 2 << 20):
-            texts = [decode(vocabulary, i or []) for i in batch.column("ids").to_pylist()]
-            same = [a == (b or "") for a, b in zip(texts, batch.column("t").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), pa.array(texts, pa.string()), pa.array(same)], ["id", "ids", "decoded", "restored"])
+            texts = batch.column("t").to_pylist()
+            coded = encoder.encode(texts)
+            back = decode(encoder.v, coded)
+            same = [a == (b or "") for a, b in zip(back, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(coded, pa.binary()), pa.array(back, pa.string()), pa.array(same)], ["id", "ids", "decoded", "restored"])
 
-    plain = coded.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), "ids")
-    return plain.mapInArrow(run, f"id {id_type}, ids array<int>, decoded string, restored boolean").withColumnRenamed("id", id_col)
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    return plain.mapInArrow(run, f"id {id_type}, ids binary, decoded string, restored boolean").withColumnRenamed("id", id_col)
 
 
 def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: number of pieces, a digest of the ids, and the decoded text's digest."""
     import public_tokenizers
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    done = decode_documents(encode_documents(table(spark, sf_dir, "documents"), model), model)
+    done = restored_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.length("decoded").cast("long").alias("decoded_chars"),
-        "restored",
-    )
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), F.length("decoded").cast("long").alias("decoded_chars"), "restored",
+    )
