@@ -159,20 +159,20 @@ class Scanner:
 
     @staticmethod
     def _places(joined: bytes, phrase: bytes) -> Iterator[int]:
-        """Byte places of a phrase; neighbours may share a space."""
-        at = joined.find(phrase)
+        """First word of each place of a phrase; neighbours may share a space. Words are counted on from the place before."""
+        at, last, word = joined.find(phrase), 0, 0
         while at >= 0:
-            yield at
-            at = joined.find(phrase, at + 1)
+            word += joined.count(b" ", last, at)
+            yield word
+            last, at = at, joined.find(phrase, at + 1)
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[str, int, int, bool]]]:
         """Number of words, and (label, first word, words, is it a base phrase) of each match in text order."""
         words = alnum_words(text)
         joined = b" " + b" ".join(words) + b" "
-        found = [(label, joined.count(b" ", 0, at), n, True) for phrase, label, n in self.base for at in self._places(joined, phrase)]
+        found = [(label, start, n, True) for phrase, label, n in self.base for start in self._places(joined, phrase)]
         for label, automaton, opening in self.automata:
-            for at in self._places(joined, opening):
-                start = joined.count(b" ", 0, at)
+            for start in self._places(joined, opening):
                 if n := automaton.longest(words, start):
                     found.append((label, start, n, False))
         return len(words), sorted(found, key=lambda m: (m[1], m[0], m[2]))

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -75,3 +76,14 @@ def test_query(spark, tmp_path):
     one, two = op1_license_scan(spark, str(tmp_path)).orderBy("doc_id").collect()
     assert (one.n_words, one.n_base, one.first_word, one.last_word, one.base_labels, one.labels, one.score) == (10, 2, 4, 7, "reserved", "copyright-notice,reserved", 1.0)
     assert (two.n_base, two.first_word, two.base_labels, two.labels, two.score) == (0, None, "", "", 0.0)
+
+
+def test_long_texts_take_time_in_proportion():
+    scanner = Scanner(TEMPLATES, BASE)
+    took = []
+    for n in (20_000, 200_000):
+        began = time.process_time()
+        n_words, found = scanner.scan("cc by " * n)
+        took.append(time.process_time() - began)
+        assert n_words == 2 * n and [m[1] for m in found] == list(range(0, 2 * n, 2))
+    assert took[1] < 40 * max(took[0], 0.02)
