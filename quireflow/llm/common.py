@@ -42,11 +42,12 @@ def alnum_words(text: str | None) -> list[bytes]:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; one of our own only where the session names none."""
+    """The cluster's shared checkpoint folder; one of our own only on a single machine whose session names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder; a machine's own one would lose data on a cluster")
         base = "file:///tmp/checkpoints/quireflow"
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/quireflow-{spark.sparkContext.applicationId}"
 
 
@@ -81,6 +82,10 @@ class Stored:
         _kept[self.path] = self.spark
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
+    def n_bytes(self) -> int:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
     def drop(self) -> None:
         _kept.pop(self.path, None)
         remove(self.spark, self.path)

@@ -22,11 +22,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, stored, table
+from .common import Stored, slices, table
 
+#: Stored bytes that a range of the curve has, about.
+RANGE_BYTES = 32 << 20
 CAPACITY, END_ID, DIMS, BITS, BUCKETS = 2048, 1, 4, 12, 256
 #: Distinct chunks whose ids a worker keeps, twice; texts themselves are never cut for it.
-MEMORY = 200_000
+MEMORY = 300_000
+
+
+def _packed(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
 
 
 class ChunkEncoder:
@@ -44,25 +50,28 @@ class ChunkEncoder:
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._encoder = tiktoken.Encoding("chunks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
+        self._one = self._encoder._core_bpe.encode_single_piece
+        self._marks = {m: _packed(self._one(m.encode())) for m in ".,;:!?"}
         self._seen: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
     def _code(self, chunk: str) -> bytes:
-        """Ids of a chunk; one of letters, or letters and a closing mark, is a single step of the split pattern."""
-        body, one = chunk.lstrip(" "), self._encoder._core_bpe.encode_single_piece
-        if body.isalpha() and len(chunk) - len(body) < 2:
-            ids = one(chunk.encode())
-        elif body[:-1].isalpha() and body[-1] in ".,;:!?" and len(chunk) - len(body) < 2:
-            ids = one(chunk[:-1].encode()) + one(body[-1].encode())
-        elif "<|" in chunk:
-            ids = self._encoder.encode(chunk, allowed_special="all")
-        else:
-            ids = self._encoder.encode_ordinary(chunk)
-        return pack(f"<{len(ids)}I", *ids)
+        if "<|" in chunk:
+            return _packed(self._encoder.encode(chunk, allowed_special="all"))
+        return _packed(self._encoder.encode_ordinary(chunk))
 
     def _new(self, part: str) -> bytes:
+        """Ids of a part with the space before it. Letters, and letters with a closing mark, are single steps of the split pattern."""
         if (ids := self._older.get(part)) is None:
-            ids = self._code(" " + part)
+            if part.isalpha():
+                ids = _packed(self._one(b" " + part.encode()))
+            elif part[-1] in self._marks and part[:-1].isalpha():
+                stem = part[:-1]
+                if (ids := self._seen.get(stem) or self._older.get(stem)) is None:
+                    ids = self._seen[stem] = _packed(self._one(b" " + stem.encode()))
+                ids += self._marks[part[-1]]
+            else:
+                ids = self._code(" " + part)
         if len(part) <= 64:
             self._seen[part] = ids
         return ids
@@ -74,22 +83,23 @@ class ChunkEncoder:
         if len(self._seen) >= MEMORY:  # what is still in use moves on from the older half
             self._seen, self._older = {}, self._seen
         parts = text.split(" ")
-        out = list(map(self._seen.get, parts))
+        out: list[bytes | None] = list(map(self._seen.get, parts))
         out[0] = self._code(parts[0]) if parts[0] else b""
         end = 0
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            if i < end:
-                continue
-            if parts[i] and not parts[i][0].isspace():
-                out[i] = self._new(parts[i])
+        while True:
+            try:
+                i = out.index(None, end)
+            except ValueError:
+                return b"".join(out)
+            part, end = parts[i], i + 1
+            if part and not part[0].isspace():
+                out[i] = self._new(part)
                 continue
             # white space before white space stays with what stands before it
-            end = i + 1
             while end < len(parts) and (not parts[end] or parts[end][0].isspace()):
                 end += 1
             before = (" " if i > 1 else "") + parts[i - 1]
             out[i - 1 : end] = [self._code(" ".join([before, *parts[i:end]]))] + [b""] * (end - i)
-        return b"".join(out)
 
 
 def projection(n_ids: int, dims: int = DIMS, buckets: int = BUCKETS) -> np.ndarray:
@@ -186,7 +196,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     """Pieces of all documents along the curve, each with its ids (piece: little-endian unsigned 32 bits)."""
     if capacity & (capacity - 1):
         raise ValueError("capacity is a power of two")
-    coded = stored(tokenize(docs, vocabulary, id_col, text_col), "tokens")
+    held = Stored(tokenize(docs, vocabulary, id_col, text_col), "tokens")
+    coded = held.df
     id_type = coded.schema["id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[object, bytes], int]]:
@@ -213,7 +224,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
         kinds = [None, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    along = coded.repartitionByRange("curve_key", "id").sortWithinPartitions("curve_key", "id")
+    # as many ranges as keep each one's rows within RANGE_BYTES, however much there is
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held.n_bytes() // RANGE_BYTES))
+    along = coded.repartitionByRange(ranges, "curve_key", "id").sortWithinPartitions("curve_key", "id")
     return along.mapInArrow(run, f"id {id_type}, {PIECES}").withColumnRenamed("id", id_col)
 
 

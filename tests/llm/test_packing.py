@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
@@ -76,3 +77,11 @@ def test_query_digest(spark):
 def test_capacity_is_a_power_of_two(spark):
     with pytest.raises(ValueError):
         pack_documents(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "x", capacity=100)
+
+
+def test_ids_of_a_whole_table_equal_the_tokenizer():
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    encoder = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for at in range(0, len(texts), 100):
+        for text, want in zip(texts[at : at + 100], TOKENIZER.encode_batch(texts[at : at + 100], add_special_tokens=False), strict=False):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want.ids
