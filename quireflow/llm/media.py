@@ -1,13 +1,15 @@
 """Media columns: interleaved document sequences.
 
 A page's HTML is parsed into one ordered array of structs: text segments and media references, the latter with their
-position, digest and caption (a figure's caption, else the image's alternative text). Payloads live in a store with one
-row per digest; references are joined to it by digest, so equal payloads are stored and read once, and every reference
-keeps its position and caption. The stored form is a lossless 8-bit grey-scale PNG with rows of 64 samples.
+position, digest and caption (a figure's caption, else the image's alternative text). Payloads are written to a store in shared
+storage, a row per digest and writing task at most; what is read back from it is joined to the references by digest, so every
+reference keeps its position and caption. The stored form is a lossless 8-bit grey-scale PNG with rows of 64 samples.
 
 Edge cases: null or empty HTML gives an empty sequence; a reference without a digest, or whose digest the store lacks,
-keeps its place with null payload fields; markup that never closes ends with the page; an empty table gives an empty
-result; repeated rows are parsed one by one; other columns are left alone. Null payload texts count as empty.
+keeps its place with null payload fields; a head that is never closed ends where a body's element begins, other hidden markup
+that never closes ends with the page; a caption outside a figure, or of a figure without media, is text; an empty table gives an empty
+result; repeated rows are parsed one by one and share a payload, as do equal texts; pages and texts of any length are read
+whole; no order depends on ties, as positions are unique; other columns are left alone. Null payload texts count as empty.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import slices, stored, table
 
 UNIT = 64
 SCHEME = "sha256:"
-HIDDEN = frozenset({"script", "style", "head", "template", "noscript"})
+HIDDEN = frozenset({"script", "style", "title", "template", "noscript"})
+#: Elements that a head may hold; any other one ends a head that was not closed.
+HEAD = HIDDEN | {"head", "html", "meta", "link", "base"}
 BLOCKS = frozenset({"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "nav", "footer", "header", "table", "tr", "td", "body", "html", "figure", "pre"})
 SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
 _PNG = b"\x89PNG\r\n\x1a\n"  # fixed value of the format
@@ -40,7 +44,7 @@ class SequenceParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.items: list[list] = []
         self._text: list[str] = []
-        self._hidden = 0
+        self._hidden, self._head = 0, False
         self._figure: list[int] = []
         self._caption: list[str] | None = None
 
@@ -50,10 +54,25 @@ class SequenceParser(HTMLParser):
         if text:
             self.items.append(["text", text, None, None])
 
+    def _end_caption(self) -> None:
+        if self._caption is None:
+            return
+        caption, self._caption = " ".join("".join(self._caption).split()), None
+        media = [item for item in self.items[self._figure[-1] :] if item[0] == "media"] if self._figure else []
+        for item in media:
+            item[3] = caption or item[3]
+        if not media:
+            self._text.append(caption)
+            self._flush()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._head = tag == "head" or (self._head and tag in HEAD)
         if tag in HIDDEN:
             self._hidden += 1
+        elif self._hidden or self._head:
+            return
         elif tag == "figcaption":
+            self._end_caption()
             self._flush()
             self._caption = []
         elif tag in ("img", "video", "audio", "source"):
@@ -65,32 +84,36 @@ class SequenceParser(HTMLParser):
         elif tag in BLOCKS:
             self._flush()
             if tag == "figure":
+                self._end_caption()
                 self._figure.append(len(self.items))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in HIDDEN:
             self._hidden = max(0, self._hidden - 1)
-        elif tag == "figcaption" and self._caption is not None:
-            caption, self._caption = " ".join("".join(self._caption).split()), None
-            for item in self.items[self._figure[-1] :] if self._figure else []:
-                if item[0] == "media":
-                    item[3] = caption
+        elif tag == "head":
+            self._head = False
+        elif tag == "figcaption":
+            self._end_caption()
         elif tag in BLOCKS:
             self._flush()
             if tag == "figure" and self._figure:
+                self._end_caption()
                 self._figure.pop()
 
     def handle_data(self, data: str) -> None:
-        if not self._hidden:
+        if self._head and not self._hidden and data.strip():  # words end a head as well
+            self._head = False
+        if not self._hidden and not self._head:
             (self._text if self._caption is None else self._caption).append(data)
 
     def sequence(self, html: str | None) -> list[dict]:
         if html:
             self.feed(html)
             self.close()
+            self._flush()
             if self._caption:
                 self._text, self._caption = self._caption, None
-            self._flush()
+                self._flush()
         return [{"position": i, "kind": k, "text": t, "digest": d, "caption": c} for i, (k, t, d, c) in enumerate(self.items)]
 
 
@@ -148,10 +171,10 @@ def payload_of(text: str | None) -> bytes:
     return raw.ljust(max(UNIT, -(-len(raw) // UNIT) * UNIT), b"\0")
 
 
-def media_store(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(digest, n_bytes, media): one stored payload per distinct text; digest is that of the unpadded bytes.
+def media_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(digest, n_bytes, media): the stored form of each text; digest is that of the unpadded bytes. Narrow: no shuffle.
 
-    Copies are merged within each task before anything is encoded or shuffled, and by key afterwards.
+    Copies within a task are merged before anything is encoded.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -161,7 +184,7 @@ def media_store(docs: DataFrame, text_col: str = "text") -> DataFrame:
             rows = []
             for d, t in zip(batch.column("digest").to_pylist(), batch.column("t").to_pylist(), strict=True):
                 if d not in done:
-                    if len(done) >= 1_000_000:  # only saves work; copies are merged by key below
+                    if len(done) >= 1_000_000:  # only saves work; readers merge copies by digest
                         done.clear()
                     done.add(d)
                     rows.append((d, len(t.encode("utf-8", "surrogatepass")), encode_png(payload_of(t))))
@@ -169,12 +192,11 @@ def media_store(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 kinds = [pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["digest", "n_bytes", "media"])
 
-    coded = docs.select(F.sha2(text, 256).alias("digest"), text.alias("t")).mapInArrow(run, "digest string, n_bytes bigint, media binary")
-    return coded.dropDuplicates(["digest"])
+    return docs.select(F.sha2(text, 256).alias("digest"), text.alias("t")).mapInArrow(run, "digest string, n_bytes bigint, media binary")
 
 
 def read_store(store: DataFrame) -> DataFrame:
-    """The store read back: digests and features of each payload, taken from the stored bytes."""
+    """The store (digest, n_bytes, media) read back: a row per digest with digests and features of its payload, taken from the stored bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,27 +214,52 @@ def read_store(store: DataFrame) -> DataFrame:
 
     names = ["digest", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     kinds = "digest string, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    return store.mapInArrow(run, kinds)
+    return store.mapInArrow(run, kinds).dropDuplicates(["digest"])
+
 
+def resolve(sequences: DataFrame, store: DataFrame) -> DataFrame:
+    """A row per media reference of sequences (column sequence): its other columns, position, caption, digest, and the store's columns (null if it lacks the digest)."""
+    others = [c for c in sequences.columns if c != "sequence"]
+    refs = sequences.select(*others, F.explode(F.filter("sequence", lambda s: s["kind"] == "media")).alias("s"))
+    return refs.select(*others, "s.position", "s.caption", F.col("s.digest").alias("digest")).join(store, "digest", "left")
 
-def resolve(sequences: DataFrame, store: DataFrame, id_col: str) -> DataFrame:
-    """A row per media reference: id, position, caption, digest, and the store's columns (null if it lacks the digest)."""
-    refs = sequences.select(id_col, F.explode(F.filter("sequence", lambda s: s["kind"] == "media")).alias("s"))
-    return refs.select(id_col, "s.position", "s.caption", F.col("s.digest").alias("digest")).join(store, "digest", "left")
+
+#: A document's page shows its payload before the first and every so many further lines.
+FIGURE_EVERY = 4
 
 
 def page_html(text: Column, key: Column) -> Column:
-    """A page that shows a whole text as prose, then refers to the whole text as a payload."""
+    """A page with a paragraph per line of a text and, among them, numbered figures that refer to the whole text as a payload."""
     safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    return F.concat(
-        F.lit("<html><body><p>"), safe(text), F.lit(f'</p><figure><img src="{SCHEME}'), F.sha2(text, 256), F.lit('"><figcaption>document '), safe(key.cast("string")), F.lit("</figcaption></figure></body></html>")
-    )
+
+    def part(line: Column, i: Column) -> Column:
+        number = (F.floor(i / FIGURE_EVERY) + 1).cast("string")
+        figure = F.concat(F.lit(f'<figure><img src="{SCHEME}'), F.col("digest"), F.lit('"><figcaption>document '), safe(key), F.lit(" figure "), number, F.lit("</figcaption></figure>"))
+        return F.concat(F.when(i % FIGURE_EVERY == 0, figure).otherwise(F.lit("")), F.lit("<p>"), line, F.lit("</p>"))
+
+    return F.concat(F.lit("<html><head><title>document</title></head><body>"), F.array_join(F.transform(F.split(safe(text), "\n"), part), ""), F.lit("</body></html>"))
 
 
 def op6_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as pages that refer to their text's stored form; references are resolved by digest."""
+    """All documents as pages of paragraphs and figures; each figure's payload is resolved by digest.
+
+    n_texts, n_media: items of the sequence; positions, captions: of its references; items_sha256: of the whole
+    ordered sequence (kind, text or digest, and caption of each item). A document's figures share its payload, so the
+    first reference's payload is the row's.
+    """
     docs = table(spark, sf_dir, "documents")
-    pages = docs.select("doc_id", page_html(F.coalesce("text", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("html"))
-    found = resolve(parse_sequences(pages, "doc_id", "html"), read_store(media_store(docs)), "doc_id")
-    columns = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", text.alias("text"), F.sha2(text, 256).alias("digest"))
+    pages = keyed.select("doc_id", page_html(F.col("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("html"))
+    media = F.filter("sequence", lambda s: s["kind"] == "media")
+    item = lambda s: F.concat_ws("\x1f", s["kind"], F.coalesce(s["text"], s["digest"], F.lit("")), F.coalesce(s["caption"], F.lit("")))
+    sequences = parse_sequences(pages, "doc_id", "html").select(
+        "doc_id", "sequence", (F.size("sequence") - F.size(media)).cast("long").alias("n_texts"), F.size(media).cast("long").alias("n_media"),
+        F.array_join(F.transform(media, lambda s: s["position"]), ",").alias("positions"), F.array_join(F.transform(media, lambda s: s["caption"]), ",").alias("captions"),
+        F.sha2(F.array_join(F.transform("sequence", item), "\x1e"), 256).alias("items_sha256"),
+    )
+    store = stored(media_rows(docs), "media")
+    # the first reference stands first: every page begins with a figure
+    found = resolve(sequences, read_store(store)).where("position = 0")
+    columns = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_texts", "n_media", "positions", "captions", "items_sha256")
     return found.select("doc_id", *columns)
