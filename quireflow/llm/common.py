@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -91,6 +92,12 @@ class Stored:
         remove(self.spark, self.path)
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of DataFrames that are no longer referred to; it notices by garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     return Stored(df, name).df
 
