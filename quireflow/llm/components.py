@@ -34,12 +34,17 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, a: str | Column, b: str | Column) -> DataFrame:
-    """(node, root) for each node that has a link and is not its component's smallest node."""
+def components(links: DataFrame, a: str | Column, b: str | Column, rounds: int | None = None) -> DataFrame:
+    """(node, root) for each node that has a link and is not its component's smallest node.
+
+    rounds: stop after so many; a root is then some node of the component, and a component may have several.
+    """
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     now = Stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "links")
     state = _state(now.df)
-    while state[0]:
+    done = 0
+    while state[0] and done != rounds:
+        done += 1
         new = Stored(_round(now.df), "links")
         now.drop()
         now, before, state = new, state, _state(new.df)
