@@ -50,9 +50,15 @@ def ordered_join(index: Column, text: Column, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(index.alias("i"), text.alias("t")))), lambda x: x["t"]), separator)
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """Percentage with two half-even decimals, 0 for an empty whole."""
-    return F.when(whole > 0, F.bround(part / whole * 100, 2)).otherwise(F.lit(0.0))
+def crop_source(name: Column) -> Column:
+    """The source image of a crop: the name up to its first point, less its last two characters (the crop's number), as .jpg."""
+    base = F.substring_index(name, ".", 1)
+    return F.concat(F.left(base, F.greatest(F.length(base) - 2, F.lit(0))), F.lit(".jpg"))
+
+
+def run_stamp(at: Column) -> Column:
+    """A run's id from its start: yyyyMMdd-HHmmss."""
+    return F.date_format(at, "yyyyMMdd-HHmmss")
 
 
 def scores(tp: Column, fp: Column, fn: Column) -> list[Column]:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from itertools import permutations
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from quireflow.functions.text import character_errors, scores
+from quireflow.functions.text import attribute_value, character_errors, ordered_join, scores
+from quireflow.operators.tagging import expand_to_tokens, tokens_of
 
 
 def count_gate(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
@@ -80,26 +85,42 @@ def _reroute(serves: dict[int, int], tight: list[list[int]], column: int, row: i
     return None
 
 
+#: Up to so many texts an assignment is an expression over all orders.
+FEW = 3
+
+
 def assigned_errors(texts: DataFrame, key: str) -> DataFrame:
     """(key, bb_index, cer) of texts (key, idx, side 'gt' or 'pred', text), each prediction serving one truth so that
-    all edits together are fewest. Keys with different counts give no rows.
+    all edits together are fewest (ties: the lexicographically first order). Keys with different counts give no rows.
 
-    Edit distances are computed by the engine; Python only sees a key's cost matrix.
+    A key's texts meet in one row by one aggregate. Edit distances and, for up to FEW texts, the assignment are built-in
+    expressions; Python sees the cost matrices of larger keys only.
     """
-    side = lambda s, i, t: texts.where(F.col("side") == s).select(key, F.col("idx").alias(i), F.col("text").alias(t))
-    truth, read = side("gt", "gt_idx", "gt_text"), side("pred", "pred_idx", "pred_text")
-    gated = truth.join(count_gate(truth, read, key), key)
-    costs = gated.join(read, key).select(key, "gt_idx", "pred_idx", F.levenshtein("pred_text", "gt_text").alias("edits"), F.length("gt_text").alias("chars"))
-    kind = texts.schema[key].dataType.simpleString()
+    side = lambda s: F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("idx", "text"))))
+    grouped = texts.groupBy(key).agg(side("gt").alias("g"), side("pred").alias("p")).where((F.size("g") > 0) & (F.size("g") == F.size("p")))
+    costs = F.transform("p", lambda p: F.transform("g", lambda g: F.coalesce(F.levenshtein(p["text"], g["text"]), F.lit(0))))
+    rows = grouped.select(key, F.transform("g", lambda g: F.struct(g["idx"].alias("idx"), F.length(g["text"]).alias("chars"))).alias("truths"), costs.alias("cost"))
+
+    def best_of(n: int) -> Column:
+        """The order (row per column) of the least sum; structs compare by sum, then by order."""
+        orders = [F.struct(sum((F.col("cost")[r][c] for c, r in enumerate(o)), F.lit(0)).alias("sum"), F.array(*map(F.lit, o)).alias("order")) for o in permutations(range(n))]
+        return F.array_min(F.array(*orders))["order"]
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        m = group.pivot(index="pred_idx", columns="gt_idx", values="edits")
-        chars = group.drop_duplicates("gt_idx").set_index("gt_idx")["chars"]
-        order = best_order(m.values.tolist())
-        cer = [m.values[r][c] / chars[g] if chars[g] else None for c, (r, g) in enumerate(zip(order, m.columns, strict=True))]
-        return pd.DataFrame({key: group[key].iloc[0], "bb_index": list(m.columns), "cer": pd.array(cer, dtype="Float64")})
+    order = F.when(F.size("truths") == 1, best_of(1))
+    for n in range(2, FEW + 1):
+        order = order.when(F.size("truths") == n, best_of(n))
+    few = rows.where(F.size("truths") <= FEW).withColumn("order", order)
 
-    return costs.groupBy(key).applyInPandas(solve, f"{key} {kind}, bb_index int, cer double")
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [best_order(m) for m in batch.column("cost").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], [*batch.schema.names, "order"])
+
+    many = rows.where(F.size("truths") > FEW)
+    solved = many.mapInArrow(solve, StructType([*many.schema.fields, StructField("order", ArrayType(IntegerType()))]))
+    each = few.unionByName(solved).select(key, "cost", "order", F.posexplode("truths").alias("c", "t"))
+    edits = F.get(F.get("cost", F.get("order", F.col("c"))), F.col("c"))
+    return each.select(key, F.col("t.idx").alias("bb_index"), F.try_divide(edits.cast("double"), F.col("t.chars")).alias("cer"))
 
 
 def region_errors(pairs: DataFrame) -> DataFrame:
@@ -108,7 +129,8 @@ def region_errors(pairs: DataFrame) -> DataFrame:
 
 
 def tag_scores(truth: DataFrame, predicted: DataFrame, key: list[str], group: list[str]) -> DataFrame:
-    """tp, fp, fn and scores per group, over distinct spans matched on key."""
+    """tp, fp, fn and scores per group, over distinct spans matched on key. A span with a null in its key is none."""
+    truth, predicted = (side.na.drop(subset=key) for side in (truth, predicted))
     both = truth.select(*key).distinct().withColumn("g", F.lit(1)).join(predicted.select(*key).distinct().withColumn("p", F.lit(1)), key, "full")
     counted = both.groupBy(*group).agg(
         F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn")
@@ -116,12 +138,14 @@ def tag_scores(truth: DataFrame, predicted: DataFrame, key: list[str], group: li
     return counted.select(*group, "tp", "fp", "fn", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
-def link_scores(truth: DataFrame, predicted: DataFrame, image: str = "image_name") -> DataFrame:
+def link_scores(truth: DataFrame, predicted: DataFrame, image: str = "image_name", labels: tuple[str, ...] | None = None) -> DataFrame:
     """tp, fp and scores of links per image: truth (image, text, geoname_id), predicted (image, text, geoname_ids).
 
-    Entities meet by surface text, many to many. There are no false negatives by definition. An image without a
+    labels: only entities with one of them (column label) count, on both sides. Entities meet by surface text, many to many. There are no false negatives by definition. An image without a
     usable truth is not valid and has null scores.
     """
+    if labels is not None:
+        truth, predicted = (side.where(F.col("label").isin(*labels)) for side in (truth, predicted))
     usable = truth.where(F.col("geoname_id").isNotNull())
     hit = F.array_contains(F.coalesce("geoname_ids", F.array().cast("array<bigint>")), F.col("geoname_id"))
     met = usable.join(predicted, [image, "text"]).groupBy(image).agg(F.count_if(hit).alias("tp"), F.count_if(~hit).alias("fp"))
@@ -136,3 +160,40 @@ def line_offsets(lines: DataFrame, key: list[str], order: str, text: str, gap: i
     """Adds the start of each line in its region's text, lines being joined by `gap` characters."""
     before = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return lines.withColumn("start", F.coalesce(F.sum(F.length(text) + gap).over(before), F.lit(0)))
+
+
+def region_tag_scores(truth: DataFrame, predicted: DataFrame) -> DataFrame:
+    """(image_name, region_idx, tp, fp, fn, scores): each predicted region's spans (start, end, label) against those of
+    the image's first true region. predicted has a row per region at least, with null spans for one without any."""
+    triple = ["start", "end", "label"]
+    first = truth.groupBy("image_name").agg(F.min("region_idx").alias("region_idx"))
+    wanted = truth.join(first, ["image_name", "region_idx"]).select("image_name", *triple).na.drop().distinct()
+    regions = predicted.select("image_name", "region_idx").distinct().join(truth.select("image_name").distinct(), "image_name", "left_semi")
+    expected = regions.join(wanted, "image_name").withColumn("g", F.lit(1))
+    found = predicted.select("image_name", "region_idx", *triple).na.drop().distinct().join(regions, ["image_name", "region_idx"], "left_semi").withColumn("p", F.lit(1))
+    both = expected.join(found, ["image_name", "region_idx", *triple], "full")
+    counted = both.groupBy("image_name", "region_idx").agg(
+        F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn")
+    )
+    out = regions.join(counted, ["image_name", "region_idx"], "left").na.fill(0, ["tp", "fp", "fn"])
+    return out.select("image_name", "region_idx", "tp", "fp", "fn", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
+
+
+def prepared_truth(lines: DataFrame, labels: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Ground truth for tags and links, from page lines (image_name, region_idx, line_idx, text, attrs).
+
+    (image_name, region_idx, text): the regions' texts, lines joined by an empty line; regions without text are left
+    out. (image_name, region_idx, label, start, end, text, geoname_id): their marked ranges, widened to whole tokens. A
+    range that touches no token is left out, as is an attribute without offset or length.
+    """
+    key = ["image_name", "region_idx"]
+    joined = lines.groupBy(*key).agg(ordered_join(F.col("line_idx"), F.col("text"), "\n\n").alias("text")).where("text <> ''")
+    placed = line_offsets(lines, key, "line_idx", "text").withColumnRenamed("start", "line_start")
+    marked = placed.select(*key, "line_start", F.explode(F.filter("attrs", lambda a: a["tag"].isin(*labels))).alias("a"))
+    value = lambda name: attribute_value(F.col("a.body"), name)
+    start = F.col("line_start") + value("offset").cast("int")
+    ranges = marked.select(*key, F.col("a.tag").alias("label"), start.alias("start"), (start + value("length").cast("int")).alias("end"), value("Geonames").cast("bigint").alias("geoname_id")).na.drop(subset=["start", "end"])
+    wide = expand_to_tokens(ranges.select(*key, "start", "end").distinct(), tokens_of(joined, key), key)
+    spans = ranges.join(wide, [*key, "start", "end"]).join(joined, key)
+    text = F.substring(F.col("text"), F.col("span_start") + 1, F.col("span_end") - F.col("span_start"))
+    return joined, spans.select(*key, "label", F.col("span_start").alias("start"), F.col("span_end").alias("end"), text.alias("text"), "geoname_id")

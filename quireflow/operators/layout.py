@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quireflow.functions.geometry import box_iou
@@ -48,3 +48,16 @@ def average_iou(pairs: DataFrame, counts: DataFrame, image: str = "image_name")
     both = counts.join(per_image, image, "left")
     divisor = F.coalesce("c", F.lit(0)) + F.abs(F.col("n_gt") - F.col("n_pred"))
     return both.select(image, "n_gt", "n_pred", F.try_divide(F.coalesce("s", F.lit(0.0)), divisor.cast("double")).alias("avg_iou"))
+
+
+def region_scores(regions: DataFrame, is_truth: Column, is_predicted: Column, image: str = "image_name") -> DataFrame:
+    """average_iou of one table that holds both sides (a region may be on both): it is read and numbered once.
+
+    Each image's boxes meet in one row; its pairs are made and averaged there.
+    """
+    side = lambda on: F.filter(F.collect_list(F.when(on, F.struct(F.col("box.x").alias("x"), F.col("box.y").alias("y"), F.col("box.w").alias("w"), F.col("box.h").alias("h")))), lambda b: b.isNotNull())
+    both = regions.groupBy(image).agg(side(is_truth).alias("g"), side(is_predicted).alias("p")).where((F.size("g") > 0) | (F.size("p") > 0))
+    best = F.transform("g", lambda g: F.coalesce(F.array_max(F.filter(F.transform("p", lambda p: box_iou(g, p)), lambda v: v > 0)), F.lit(0.0)))
+    met = both.select(image, F.size("g").cast("long").alias("n_gt"), F.size("p").cast("long").alias("n_pred"), F.filter(best, lambda v: v > 0).alias("m"))
+    total = F.aggregate("m", F.lit(0.0), lambda s, v: s + v)
+    return met.select(image, "n_gt", "n_pred", F.try_divide(total, (F.size("m") + F.abs(F.col("n_gt") - F.col("n_pred"))).cast("double")).alias("avg_iou"))

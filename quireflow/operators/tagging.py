@@ -1,62 +1,86 @@
-"""Span tagging by token rules."""
+"""Span tagging by token rules, with built-in functions only."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The tokenizer: web addresses, words with inner points, quotes, slashes and hyphens, and single other characters.
 TOKEN = r"https?://\S+|\w[\w.'/\-]*\w|\w|[^\w\s]"
 DIGITS = r"^\d+$"
-#: Rules as (label, one pattern per consecutive token). A pattern is searched in the token's text.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("MfN_GatheringDate", (r"\b\d{1,2}\.\d{1,2}\.\d{2,4}\b",)),
-    ("MfN_GatheringDate", (r"\b\d{1,2}\.(I{1,3}|IV|V?I{0,3}|IX|X|XI|XII)\.\d{2,4}\b",)),
-    ("MfN_GatheringDate", (r"\b(I{1,3}|IV|V?I{0,3}|IX|X|XI|XII)\.\d{2,4}\b",)),
-    ("MfN_Geo_Longitude", (DIGITS, "^°$", r"\d{1,2}'[E|W]\b")),
-    ("MfN_Geo_Latitude", (DIGITS, "^°$", r"\d{1,2}'[N|S]\b")),
-    ("MfN_NURI", (r"(?i)http://coll\.mfn-berlin\.de/u/[a-z0-9]{6}",)),
-    ("MfN_Sex", ("(?:♀|♂|⚥)",)),
-    ("MfN_Type", (r"(?i)\b(holotyp|lectotyp|neotyp|paralectotyp|paratyp|syntyp|type)[a-zA-Z]*\b",)),
-)
-
-
-def tag_text(text: str | None, rules: list[tuple[str, list[re.Pattern]]]) -> list[dict]:
-    """Distinct spans of all rules, by start, end and label."""
-    tokens = [(m.start(), m.end(), m.group()) for m in re.finditer(TOKEN, text or "")]
-    found = set()
-    for label, patterns in rules:
-        for i in range(len(tokens) - len(patterns) + 1):
-            if all(p.search(t[2]) for p, t in zip(patterns, tokens[i:], strict=False)):
-                found.add((tokens[i][0], tokens[i + len(patterns) - 1][1], label))
-    return [{"label": b, "start": s, "end": e, "text": text[s:e]} for s, e, b in sorted(found)]
-
-
-def with_tags(texts: DataFrame, text_col: str = "text", labels: tuple[str, ...] | None = None, rules: tuple = RULES) -> DataFrame:
-    """Adds tags, an array of (label, start, end, text); labels: only these rules."""
-    chosen = [(label, list(patterns)) for label, patterns in rules if labels is None or label in labels]
-
-    @F.pandas_udf("array<struct<label:string,start:int,end:int,text:string>>")
-    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        compiled = [(label, [re.compile(p) for p in patterns]) for label, patterns in chosen]
-        for series in batches:
-            yield series.map(lambda t: tag_text(t, compiled))
-
-    return texts.withColumn("tags", tag(F.col(text_col).cast("string")))
-
-
-def token_tags(texts: DataFrame, key: str, text_col: str, label: str, rules: tuple = RULES) -> DataFrame:
-    """(key, label, token) of one-token rules for texts of ASCII, by built-in functions only: tokens are exploded and matched."""
-    patterns = [p[0] for name, p in rules if name == label and len(p) == 1]
-    tokens = texts.select(key, F.explode(F.regexp_extract_all(text_col, F.lit(TOKEN), F.lit(0))).alias("token"))
-    hit = F.lit(False)
-    for p in patterns:
-        hit = hit | F.col("token").rlike(p)
-    return tokens.where(hit).select(key, F.lit(label).alias("label"), "token")
+Rules = tuple[tuple[str, tuple[str, ...]], ...]
+
+
+def rules(uri_host: str = "coll.example.org", prefix: str = "") -> Rules:
+    """(label, one pattern per consecutive token); a pattern is searched in the token's text. uri_host: the host whose
+    object addresses are tagged; prefix: put before each label."""
+    # fixed values: labels and patterns
+    plain = (
+        ("GatheringDate", (r"\b\d{1,2}\.\d{1,2}\.\d{2,4}\b",)),
+        ("GatheringDate", (r"\b\d{1,2}\.(I{1,3}|IV|V?I{0,3}|IX|X|XI|XII)\.\d{2,4}\b",)),
+        ("GatheringDate", (r"\b(I{1,3}|IV|V?I{0,3}|IX|X|XI|XII)\.\d{2,4}\b",)),
+        ("Geo_Longitude", (DIGITS, "^°$", r"\d{1,2}'[E|W]\b")),
+        ("Geo_Latitude", (DIGITS, "^°$", r"\d{1,2}'[N|S]\b")),
+        ("NURI", (rf"(?i)http://{re.escape(uri_host)}/u/[a-z0-9]{{6}}",)),
+        ("Sex", ("(?:♀|♂|⚥)",)),
+        ("Type", (r"(?i)\b(holotyp|lectotyp|neotyp|paralectotyp|paratyp|syntyp|type)[a-zA-Z]*\b",)),
+    )
+    return tuple((prefix + label, patterns) for label, patterns in plain)
+
+
+def text_parts(text: Column) -> Column:
+    """A text's tokens and the white space between them, in order: joined, they are the text."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"(?U)(?:{TOKEN})|\s+"), F.lit(0))
+
+
+def _is_gap(part: Column) -> Column:
+    return part.rlike(r"(?U)^\s")
+
+
+def _before(parts: Column, n: Column) -> Column:
+    """Characters of the first n parts."""
+    return F.length(F.array_join(F.slice(parts, F.lit(1), n), ""))
+
+
+def tokens_of(texts: DataFrame, key: list[str], text_col: str = "text") -> DataFrame:
+    """(key, tok_start, tok_end, token) of every token."""
+    parts = texts.select(*key, text_parts(F.col(text_col)).alias("parts"))
+    ends = F.aggregate("parts", F.array(F.lit(0)), lambda s, p: F.concat(s, F.array(F.element_at(s, -1) + F.length(p))))
+    placed = parts.select(*key, F.posexplode(F.arrays_zip(F.col("parts").alias("t"), ends.alias("e"))).alias("i", "p"))
+    return placed.where(F.col("p.t").isNotNull() & ~_is_gap(F.col("p.t"))).select(*key, F.col("p.e").alias("tok_start"), (F.col("p.e") + F.length("p.t")).alias("tok_end"), F.col("p.t").alias("token"))
+
+
+def with_tags(texts: DataFrame, text_col: str = "text", labels: tuple[str, ...] | None = None, table: Rules | None = None) -> DataFrame:
+    """Adds tags, an array of distinct (label, start, end, text) by start, end and label; labels: only these rules.
+
+    Each part's place is its number until a rule has matched; only then are the characters before it counted.
+    """
+    chosen = [(label, patterns) for label, patterns in (rules() if table is None else table) if labels is None or label in labels]
+    parted = texts.withColumn("_tg_parts", text_parts(F.col(text_col).cast("string")))
+    numbered = F.transform("_tg_parts", lambda t, i: F.struct(i.alias("i"), t.alias("t")))
+    tokened = parted.withColumn("_tg_tokens", F.filter(numbered, lambda x: ~_is_gap(x["t"])))
+
+    def found(label: str, patterns: tuple[str, ...]) -> Column:
+        def match(x: Column, j: Column) -> Column:
+            hit, last = x["t"].rlike(patterns[0]), x["i"]
+            for k, p in enumerate(patterns[1:], 1):
+                follower = F.get("_tg_tokens", j + k)
+                hit, last = hit & follower["t"].rlike(p), follower["i"]
+            return F.when(hit, F.struct(x["i"].alias("a"), last.alias("b"), F.lit(label).alias("label")))
+
+        return F.filter(F.transform("_tg_tokens", match), lambda s: s.isNotNull())
+
+    none = F.array().cast("array<struct<a:int,b:int,label:string>>")
+    matched = tokened.withColumn("_tg_found", F.array_sort(F.array_distinct(F.concat(none, *[found(*r) for r in chosen]))))
+
+    def span(s: Column) -> Column:
+        whole = F.array_join(F.slice("_tg_parts", s["a"] + 1, s["b"] - s["a"] + 1), "")
+        start = _before(F.col("_tg_parts"), s["a"])
+        return F.struct(s["label"].alias("label"), start.alias("start"), (start + F.length(whole)).alias("end"), whole.alias("text"))
+
+    return matched.withColumn("tags", F.transform("_tg_found", span)).drop("_tg_parts", "_tg_tokens", "_tg_found")
 
 
 def expand_to_tokens(spans: DataFrame, tokens: DataFrame, key: list[str]) -> DataFrame:

@@ -12,7 +12,8 @@ from quireflow.functions import geometry as g
 from quireflow.functions import text as t
 from quireflow.operators import evaluation, layout, linking, metrics, tagging
 from quireflow.sources.images import first_images
-from quireflow.sources.tables import REGIONS_SQL, regions, table
+from quireflow.sources.page_sink import NAMESPACE, custom_string, page_xml, recognition_json, region_rows
+from quireflow.sources.tables import REGIONS_SQL, regions, shared_folder, table
 from quireflow.streaming.flush import flush_metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,13 @@ def image_listing_topn(spark, sf_dir):
     return first_images(_names(spark, sf_dir), 50)
 
 
+@query(f"""WITH n AS (SELECT {_IMAGES} AS image_name, p_partkey FROM part),
+r AS (SELECT *, (row_number() OVER (ORDER BY image_name) - 1)::INT AS image_index FROM n)
+SELECT image_name, p_partkey, image_index FROM r WHERE regexp_matches(lower(image_name), '\\.(jpg|jpeg|png|tiff|tif)$')""")
+def image_listing_all(spark, sf_dir):
+    return first_images(_names(spark, sf_dir), 0)
+
+
 @query(f"""SELECT image_name, regexp_replace(image_name, '\\.[^.]*$', '') AS stem, regexp_replace(image_name, '\\.[^.]*$', '') || '.xml' AS gt_name FROM (SELECT {_IMAGES} AS image_name FROM part)""")
 def image_names(spark, sf_dir):
     return _names(spark, sf_dir).select("image_name", t.stem(F.col("image_name")).alias("stem"), t.ground_truth_name(F.col("image_name")).alias("gt_name"))
@@ -123,8 +131,7 @@ def region_pairs_iou(spark, sf_dir):
 n AS (SELECT image_name, sum(a)::BIGINT AS n_gt, sum(b)::BIGINT AS n_pred FROM (SELECT image_name, 1 AS a, 0 AS b FROM gt UNION ALL SELECT image_name, 0, 1 FROM pr) GROUP BY ALL)
 SELECT image_name, n_gt, n_pred, round(coalesce(s, 0) / nullif(coalesce(c, 0) + abs(n_gt - n_pred), 0), 9) AS avg_iou FROM n LEFT JOIN s USING (image_name)""")
 def layout_avg_iou(spark, sf_dir):
-    sides = _sides(spark, sf_dir)
-    return layout.average_iou(layout.region_pairs(*sides), layout.region_counts(*sides)).withColumn("avg_iou", F.round("avg_iou", 9))
+    return layout.region_scores(regions(spark, sf_dir), F.col("l_linestatus") == "O", F.col("l_returnflag") != "N").withColumn("avg_iou", F.round("avg_iou", 9))
 
 
 # ---------------------------------------------------------------- readings
@@ -170,6 +177,23 @@ def cer_assignment(spark, sf_dir):
     return evaluation.assigned_errors(gt.unionByName(pred), "k").withColumn("cer", F.round("cer", 9))
 
 
+_THREE = [(0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)]
+_SUMS = [" + ".join(f"d{r}{c}" for c, r in enumerate(o)) for o in _THREE]
+
+
+@query(f"""WITH s AS (SELECT p_partkey // 3 AS k, (p_partkey % 3)::INT AS i, p_name AS g, reverse(p_name) || p_type AS p FROM part),
+t AS (SELECT a.k, a.g AS g0, b.g AS g1, c.g AS g2, a.p AS p0, b.p AS p1, c.p AS p2 FROM s a JOIN s b ON a.k = b.k AND b.i = 1 JOIN s c ON a.k = c.k AND c.i = 2 WHERE a.i = 0),
+d AS (SELECT *, {", ".join(f"levenshtein(p{r}, g{c}) AS d{r}{c}" for r in range(3) for c in range(3))} FROM t), m AS (SELECT *, least({", ".join(_SUMS)}) AS m FROM d),
+o AS (SELECT *, CASE {" ".join(f"WHEN {x} = m THEN [{', '.join(f'd{r}{c}' for c, r in enumerate(o))}]" for x, o in zip(_SUMS, _THREE, strict=True))} END AS e FROM m)
+SELECT k, i::INT AS bb_index, round(e[i + 1] / length([g0, g1, g2][i + 1]), 9) AS cer FROM o, range(3) r(i)""")
+def cer_assignment_three(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 3).alias("k"), (F.col("p_partkey") % 3).cast("int").alias("idx"), "p_name", "p_type")
+    part = part.join(part.groupBy("k").count().where("count = 3").select("k"), "k")
+    gt = part.select("k", "idx", F.lit("gt").alias("side"), F.col("p_name").alias("text"))
+    pred = part.select("k", "idx", F.lit("pred").alias("side"), F.concat(F.reverse("p_name"), "p_type").alias("text"))
+    return evaluation.assigned_errors(gt.unionByName(pred), "k").withColumn("cer", F.round("cer", 9))
+
+
 @query(r"""SELECT doc_id, replace(t, chr(13) || chr(10), chr(10)) AS unix, regexp_replace(replace(u, chr(10) || chr(10), chr(10)), '^\s+|\s+$', '', 'g') AS cleaned
 FROM (SELECT doc_id, replace(text, chr(10), chr(13) || chr(10)) AS t, chr(10) || replace(text, '. ', '.' || chr(10) || chr(10)) || '  ' AS u FROM documents)""")
 def newline_normalise(spark, sf_dir):
@@ -181,17 +205,27 @@ def newline_normalise(spark, sf_dir):
 
 # ---------------------------------------------------------------- ground truth
 
-_CUSTOM = "'readingOrder {index:' || l_linenumber || ';} MfN_Geo_Town {offset:' || l_partkey || '; length:' || l_suppkey || '; Geonames:' || l_orderkey || ';}'"
+_CUSTOM = "'readingOrder {index:' || l_linenumber || ';} Geo_Town {offset:' || l_partkey || '; length:' || l_suppkey || '; Geonames:' || l_orderkey || ';}'"
 
 
 @query("SELECT l_orderkey, l_linenumber, 2 AS n_attrs, l_partkey AS \"offset\", l_suppkey AS \"length\", l_orderkey AS geoname_id FROM lineitem")
 def custom_attr_parse(spark, sf_dir):
-    custom = F.expr(_CUSTOM.replace("||", "||"))
+    custom = F.expr(_CUSTOM)
     attrs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", t.custom_attributes(custom).alias("a"))
-    body = F.filter("a", lambda x: x["tag"] == "MfN_Geo_Town")[0]["body"]
+    body = F.filter("a", lambda x: x["tag"] == "Geo_Town")[0]["body"]
     return attrs.select("l_orderkey", "l_linenumber", F.size("a").alias("n_attrs"), *[t.attribute_value(body, k).cast("bigint").alias(n) for k, n in (("offset", "offset"), ("length", "length"), ("Geonames", "geoname_id"))])
 
 
+@query("""WITH l AS (SELECT l_orderkey AS image_name, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS i, l_partkey % 3 AS o, l_suppkey % 8 + 1 AS n, l_orderkey AS id FROM lineitem)
+SELECT image_name, (11 * i)::INT AS start, (11 * i + CASE WHEN o + n > 5 THEN 9 ELSE 4 END)::INT AS "end", CASE WHEN o + n > 5 THEN 'abcd efgh' ELSE 'abcd' END AS tagged, id AS geoname_id FROM l""")
+def gt_prepared(spark, sf_dir):
+    r = regions(spark, sf_dir, "l_partkey", "l_suppkey")
+    custom = F.concat(F.lit("readingOrder {index:0;} Geo_Town {offset:"), F.col("l_partkey") % 3, F.lit("; length:"), F.col("l_suppkey") % 8 + 1, F.lit("; Geonames:"), F.col("image_name"), F.lit(";}"))
+    lines = r.select("image_name", F.lit(0).alias("region_idx"), F.col("region_idx").alias("line_idx"), F.lit("abcd efgh").alias("text"), t.custom_attributes(custom).alias("attrs"))
+    spans = evaluation.prepared_truth(lines, ("Geo_Town",))[1]
+    return spans.select("image_name", "start", "end", F.col("text").alias("tagged"), "geoname_id")
+
+
 @query("SELECT conv_id, turn, coalesce(sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM conversations")
 def gt_line_offsets(spark, sf_dir):
     return evaluation.line_offsets(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text").select("conv_id", "turn", F.col("start").cast("long").alias("start"))
@@ -211,9 +245,10 @@ def gt_left_join(spark, sf_dir):
 # ---------------------------------------------------------------- tags
 
 #: A label's text: name, date, type, address, sex sign and coordinates, by the part's key.
-_LABEL = """p_name || ', ' || (p_partkey % 28 + 1) || '.' || (p_partkey % 12 + 1) || '.19' || lpad((p_partkey % 100)::VARCHAR, 2, '0') || ' '
+_DATE = """(CASE p_partkey % 3 WHEN 0 THEN (p_partkey % 28 + 1) || '.' || (p_partkey % 12 + 1) || '.' WHEN 1 THEN (p_partkey % 28 + 1) || '.IV.' ELSE 'VI.' END || '19' || lpad((p_partkey % 100)::VARCHAR, 2, '0'))"""
+_LABEL = f"""p_name || ', ' || {_DATE} || ' '
  || CASE p_size % 4 WHEN 0 THEN 'Holotype' WHEN 1 THEN 'paratypus' WHEN 2 THEN 'atype' ELSE 'x' END
- || CASE WHEN p_partkey % 3 = 0 THEN ' http://coll.mfn-berlin.de/u/ab' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') ELSE '' END
+ || CASE WHEN p_partkey % 3 = 0 THEN ' http://coll.example.org/u/ab' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') ELSE '' END
  || CASE WHEN p_partkey % 5 = 0 THEN ' ' || chr(9794) ELSE '' END
  || ' ' || (p_partkey % 90) || chr(176) || (p_partkey % 60) || '''' || CASE p_partkey % 4 WHEN 0 THEN 'N' WHEN 1 THEN 'E' WHEN 2 THEN 'S' ELSE 'W' END"""
 
@@ -222,8 +257,9 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("p_partkey")
     pick = lambda c, *v: F.element_at(F.array(*map(F.lit, v)), (c + 1).cast("int"))
     text = F.concat(
-        "p_name", F.lit(", "), n % 28 + 1, F.lit("."), n % 12 + 1, F.lit(".19"), F.lpad((n % 100).cast("string"), 2, "0"), F.lit(" "), pick(F.col("p_size") % 4, "Holotype", "paratypus", "atype", "x"),
-        F.when(n % 3 == 0, F.concat(F.lit(" http://coll.mfn-berlin.de/u/ab"), F.lpad((n % 10000).cast("string"), 4, "0"))).otherwise(F.lit("")),
+        "p_name", F.lit(", "), F.when(n % 3 == 0, F.concat(n % 28 + 1, F.lit("."), n % 12 + 1, F.lit("."))).when(n % 3 == 1, F.concat(n % 28 + 1, F.lit(".IV."))).otherwise(F.lit("VI.")),
+        F.lit("19"), F.lpad((n % 100).cast("string"), 2, "0"), F.lit(" "), pick(F.col("p_size") % 4, "Holotype", "paratypus", "atype", "x"),
+        F.when(n % 3 == 0, F.concat(F.lit(" http://coll.example.org/u/ab"), F.lpad((n % 10000).cast("string"), 4, "0"))).otherwise(F.lit("")),
         F.when(n % 5 == 0, F.lit(" ♂")).otherwise(F.lit("")), F.lit(" "), n % 90, F.lit("°"), n % 60, F.lit("'"), pick(n % 4, "N", "E", "S", "W"),
     )
     return table(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
@@ -243,12 +279,12 @@ SELECT p_partkey, '{label}' AS label, instr(text, tagged) - 1 AS start, (instr(t
 
 
 _DEG = "(p_partkey % 90) || chr(176) || (p_partkey % 60) || ''''"
-_tag_query("tag_dates", "MfN_GatheringDate", r"regexp_extract(text, '\d{1,2}\.\d{1,2}\.\d{4}')")
-_tag_query("tag_types", "MfN_Type", r"regexp_extract(text, '\b(?i:holotype|paratypus)\b')")
-_tag_query("tag_nuri", "MfN_NURI", r"regexp_extract(text, 'http://coll\.mfn-berlin\.de/u/[a-z0-9]{6}')")
-_tag_query("tag_sex", "MfN_Sex", "regexp_extract(text, chr(9794))")
-_tag_query("tag_lat", "MfN_Geo_Latitude", f"CASE p_partkey % 4 WHEN 0 THEN {_DEG} || 'N' WHEN 2 THEN {_DEG} || 'S' END")
-_tag_query("tag_lon", "MfN_Geo_Longitude", f"CASE p_partkey % 4 WHEN 1 THEN {_DEG} || 'E' WHEN 3 THEN {_DEG} || 'W' END")
+_tag_query("tag_dates", "GatheringDate", _DATE)
+_tag_query("tag_types", "Type", r"regexp_extract(text, '\b(?i:holotype|paratypus)\b')")
+_tag_query("tag_nuri", "NURI", r"regexp_extract(text, 'http://coll\.example\.org/u/[a-z0-9]{6}')")
+_tag_query("tag_sex", "Sex", "regexp_extract(text, chr(9794))")
+_tag_query("tag_lat", "Geo_Latitude", f"CASE p_partkey % 4 WHEN 0 THEN {_DEG} || 'N' WHEN 2 THEN {_DEG} || 'S' END")
+_tag_query("tag_lon", "Geo_Longitude", f"CASE p_partkey % 4 WHEN 1 THEN {_DEG} || 'E' WHEN 3 THEN {_DEG} || 'W' END")
 
 _SPANS = """SELECT image_name, region_idx, x AS start, x + w AS "end", l_returnflag AS label FROM regions"""
 
@@ -262,31 +298,36 @@ _SCORES = """coalesce(tp / nullif(tp + fp, 0), 0) AS p, coalesce(tp / nullif(tp
 _F1 = "round_even(p * 100, 2) AS precision, round_even(r * 100, 2) AS recall, round_even(coalesce(2 * p * r / nullif(p + r, 0), 0) * 100, 2) AS f1"
 
 
-@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT DISTINCT image_name, start, "end", label FROM s WHERE region_idx % 2 = 0), p AS (SELECT DISTINCT image_name, start, "end", label FROM s WHERE region_idx % 3 <> 1),
+@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT DISTINCT image_name, start, "end", label FROM s), p AS (SELECT DISTINCT image_name, start + CASE WHEN region_idx % 3 = 1 THEN 1 ELSE 0 END AS start, "end", label FROM s),
 b AS (SELECT coalesce(g.image_name, p.image_name) % 10 AS grp, g.label IS NOT NULL AS ing, p.label IS NOT NULL AS inp FROM g FULL JOIN p ON g.image_name = p.image_name AND g.start = p.start AND g."end" = p."end" AND g.label = p.label),
 c AS (SELECT grp, count_if(ing AND inp)::BIGINT AS tp, count_if(NOT ing)::BIGINT AS fp, count_if(NOT inp)::BIGINT AS fn FROM b GROUP BY grp), q AS (SELECT *, {_SCORES} FROM c)
 SELECT grp, tp, fp, fn, {_F1} FROM q""")
 def tag_prf(spark, sf_dir):
     s = _spans(spark, sf_dir).withColumn("grp", F.col("image_name") % 10)
-    return evaluation.tag_scores(s.where("region_idx % 2 = 0"), s.where("region_idx % 3 <> 1"), ["grp", "image_name", "start", "end", "label"], ["grp"])
+    moved = s.withColumn("start", F.col("start") + F.when(F.col("region_idx") % 3 == 1, 1).otherwise(0))
+    return evaluation.tag_scores(s, moved, ["grp", "image_name", "start", "end", "label"], ["grp"])
 
 
-@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT image_name, start, "end", label FROM s WHERE region_idx = 0)
-SELECT s.image_name, s.region_idx, count_if(g.label = s.label AND g.start <= s.start)::BIGINT AS tp FROM s JOIN g ON s.image_name = g.image_name GROUP BY ALL""")
+@query(f"""WITH {REGIONS_SQL}, s AS ({_SPANS}), g AS (SELECT image_name, start, "end", label FROM s WHERE region_idx = 0),
+p AS (SELECT image_name, region_idx, start - CASE WHEN region_idx % 2 = 1 THEN x ELSE 0 END AS start, "end" - CASE WHEN region_idx % 2 = 1 THEN x ELSE 0 END AS "end", label FROM (SELECT s.*, s.start - g.start AS x FROM s JOIN g USING (image_name))),
+c AS (SELECT p.image_name, p.region_idx, count_if(p.start = g.start AND p."end" = g."end" AND p.label = g.label)::BIGINT AS tp FROM p JOIN g ON p.image_name = g.image_name GROUP BY ALL),
+n AS (SELECT image_name, region_idx, tp, 1 - tp AS fp, 1 - tp AS fn FROM c), q AS (SELECT *, {_SCORES} FROM n) SELECT image_name, region_idx, tp, fp, fn, {_F1} FROM q""")
 def tag_first_region(spark, sf_dir):
     s = _spans(spark, sf_dir)
-    first = s.where("region_idx = 0").select("image_name", F.col("start").alias("g_start"), F.col("label").alias("g_label"))
-    return s.join(first, "image_name").groupBy("image_name", "region_idx").agg(F.count_if((F.col("g_label") == F.col("label")) & (F.col("g_start") <= F.col("start"))).alias("tp"))
+    first = s.where("region_idx = 0").select("image_name", F.col("start").alias("g_start"))
+    by = F.when(F.col("region_idx") % 2 == 1, F.col("start") - F.col("g_start")).otherwise(0)
+    found = s.join(first, "image_name").withColumn("by", by).withColumns({"start": F.col("start") - F.col("by"), "end": F.col("end") - F.col("by")})
+    return evaluation.region_tag_scores(s, found)
 
 
 # ---------------------------------------------------------------- links
 
-_NAMED = "SELECT c_custkey AS image_name, CASE WHEN c_custkey % 3 = 0 THEN 'MfN_Geo_Town' WHEN c_custkey % 3 = 1 THEN 'MfN_Geo_Country' ELSE 'MfN_Sex' END AS label, 'NATION_' || (c_nationkey + c_custkey % 4) AS text, c_nationkey FROM customer"
+_NAMED = "SELECT c_custkey AS image_name, CASE WHEN c_custkey % 3 = 0 THEN 'Geo_Town' WHEN c_custkey % 3 = 1 THEN 'Geo_Country' ELSE 'Sex' END AS label, 'NATION_' || (c_nationkey + c_custkey % 4) AS text, c_nationkey FROM customer"
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    label = F.when(k % 3 == 0, "MfN_Geo_Town").when(k % 3 == 1, "MfN_Geo_Country").otherwise("MfN_Sex")
+    label = F.when(k % 3 == 0, "Geo_Town").when(k % 3 == 1, "Geo_Country").otherwise("Sex")
     return table(spark, sf_dir, "customer").select(k.alias("image_name"), label.alias("label"), F.concat(F.lit("NATION_"), (F.col("c_nationkey") + k % 4).cast("string")).alias("text"), "c_nationkey")
 
 
@@ -296,56 +337,69 @@ def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.col("n_name").alias("name"), F.explode(ids).alias("i")).select("name", "i.*")
 
 
-@query(f"SELECT image_name, label, text, n_nationkey || ',' || (n_nationkey + 1000) AS geoname_ids FROM ({_NAMED}) s JOIN nation ON text = n_name WHERE label <> 'MfN_Sex'")
+@query(f"SELECT image_name, label, text, n_nationkey || ',' || (n_nationkey + 1000) AS geoname_ids FROM ({_NAMED}) s JOIN nation ON text = n_name WHERE label <> 'Sex'")
 def link_gazetteer(spark, sf_dir):
     linked = linking.link_spans(_places(spark, sf_dir), _gazetteer(spark, sf_dir))
     return linked.select("image_name", "label", "text", F.array_join("geoname_ids", ",").alias("geoname_ids"))
 
 
-@query(f"""WITH s AS ({_NAMED}), q AS (SELECT DISTINCT text FROM s WHERE label <> 'MfN_Sex'), n AS (SELECT q.text, n_nationkey AS id, levenshtein(q.text, n_name) AS d FROM q JOIN nation ON levenshtein(q.text, n_name) <= 1),
-i AS (SELECT text, string_agg(id::VARCHAR || ',' || (id + 0)::VARCHAR, ';' ORDER BY d, id) AS ids FROM n GROUP BY text) SELECT image_name, text, ids FROM s JOIN i USING (text) WHERE label <> 'MfN_Sex'""")
+@query(f"""WITH s AS ({_NAMED}), q AS (SELECT DISTINCT text FROM s WHERE label <> 'Sex'), n AS (SELECT q.text, n_nationkey AS id, levenshtein(q.text, n_name) AS d FROM q JOIN nation ON levenshtein(q.text, n_name) <= 1),
+i AS (SELECT text, string_agg(id::VARCHAR, ';' ORDER BY d, id) AS ids FROM n GROUP BY text) SELECT image_name, text, ids FROM s JOIN i USING (text) WHERE label <> 'Sex'""")
 def link_fuzzy(spark, sf_dir):
     gaz = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit(0).alias("rank"), F.col("n_nationkey").cast("bigint").alias("geoname_id"))
-    ids = F.array_join(F.transform("geoname_ids", lambda i: F.concat_ws(",", i.cast("string"), i.cast("string"))), ";")
-    return linking.link_spans(_places(spark, sf_dir), gaz, distance=1).select("image_name", "text", ids.alias("ids"))
+    return linking.link_spans(_places(spark, sf_dir), gaz, distance=1).select("image_name", "text", F.array_join("geoname_ids", ";").alias("ids"))
 
 
-@query(f"""WITH s AS ({_NAMED}), v AS (SELECT image_name // 5 AS image_name, label, text, c_nationkey FROM s), g AS (SELECT image_name, text, CASE WHEN c_nationkey % 6 = 0 THEN NULL ELSE c_nationkey END AS id FROM v WHERE label <> 'MfN_Sex'),
-p AS (SELECT image_name, text, n_nationkey AS nid FROM v JOIN nation ON text = n_name WHERE label <> 'MfN_Sex'),
+@query(f"""WITH s AS ({_NAMED}), v AS (SELECT image_name // 5 AS image_name, label, text, c_nationkey FROM s), g AS (SELECT image_name, text, CASE WHEN c_nationkey % 6 = 0 THEN NULL ELSE c_nationkey END AS id FROM v WHERE label <> 'Sex'),
+p AS (SELECT image_name, text, n_nationkey AS nid FROM v JOIN nation ON text = n_name WHERE label <> 'Sex'),
 m AS (SELECT g.image_name, count_if(id = nid OR id = nid + 1000)::BIGINT AS tp, count_if(NOT (id = nid OR id = nid + 1000))::BIGINT AS fp FROM g JOIN p ON g.image_name = p.image_name AND g.text = p.text WHERE id IS NOT NULL GROUP BY ALL),
 i AS (SELECT image_name FROM g UNION SELECT image_name FROM p), c AS (SELECT image_name, count(id) AS n FROM g GROUP BY ALL),
 a AS (SELECT i.image_name, coalesce(n, 0) > 0 AS valid, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, 0::BIGINT AS fn FROM i LEFT JOIN c USING (image_name) LEFT JOIN m USING (image_name)), q AS (SELECT *, {_SCORES} FROM a)
 SELECT image_name, valid, tp, fp, fn, CASE WHEN valid THEN precision END AS precision, CASE WHEN valid THEN recall END AS recall, CASE WHEN valid THEN f1 END AS f1 FROM (SELECT *, {_F1} FROM q)""")
 def link_prf(spark, sf_dir):
-    places = _places(spark, sf_dir).where("label <> 'MfN_Sex'").withColumn("image_name", F.floor(F.col("image_name") / 5))
+    places = _places(spark, sf_dir).where("label <> 'Sex'").withColumn("image_name", F.floor(F.col("image_name") / 5))
     truth = places.select("image_name", "text", F.when(F.col("c_nationkey") % 6 != 0, F.col("c_nationkey")).cast("bigint").alias("geoname_id"))
     return evaluation.link_scores(truth, linking.link_spans(places, _gazetteer(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- outputs
 
-@query(f"""WITH {REGIONS_SQL} SELECT image_name, region_idx, 'readingOrder {{index:' || region_idx || ';}} ' || l_returnflag || ' {{offset:' || x || '; length:' || w || ';}}' AS custom FROM regions""")
-def page_region_assembly(spark, sf_dir):
-    from quireflow.sources.page_sink import custom_string
+def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions with the tags of those not flagged N and the links of those flagged R."""
+    r = regions(spark, sf_dir).withColumnRenamed("l_returnflag", "text").drop("l_linestatus").withColumns({"width": F.lit(1920), "height": F.lit(1080)})
+    spans = _spans(spark, sf_dir).where("label <> 'N'")
+    links = spans.where("label = 'R'").select("image_name", "region_idx", F.lit(0).alias("link_idx"), F.lit("place").alias("text"), F.lit("Geo_Town").alias("label"), F.array((F.col("image_name") % 100).cast("bigint"), F.lit(7).cast("bigint")).alias("geoname_ids"))
+    return region_rows(r, spans, links)
 
-    spans = F.array(F.struct(F.col("label"), F.col("start"), F.col("end")))
-    return _spans(spark, sf_dir).select("image_name", "region_idx", custom_string(F.col("region_idx"), spans).alias("custom"))
+
+@query(f"""WITH {REGIONS_SQL} SELECT image_name, region_idx, 'readingOrder {{index:' || region_idx || ';}}' || CASE WHEN l_returnflag = 'N' THEN '' ELSE ' ' || l_returnflag || ' {{offset:' || x || '; length:' || w || ';}}' END AS custom,
+CASE WHEN l_returnflag = 'R' THEN 'place,' || (image_name % 100) || ',7' ELSE '' END AS links FROM regions""")
+def page_region_assembly(spark, sf_dir):
+    links = F.array_join(F.transform("links", lambda x: F.concat_ws(",", x["text"], F.array_join(x["geoname_ids"], ","))), ";")
+    return _assembled(spark, sf_dir).select("image_name", "region_idx", custom_string(F.col("region_idx"), F.col("spans")).alias("custom"), links.alias("links"))
 
 
 @query(f"""WITH {REGIONS_SQL} SELECT image_name, '{{"image_index":' || image_name || ',"regions":[' || string_agg('{{"bbox":[' || x || ',' || y || ',' || w || ',' || h || '],"text":"' || l_returnflag || '"}}', ',' ORDER BY region_idx) || ']}}' AS json FROM regions GROUP BY image_name""")
 def ocr_json_out(spark, sf_dir):
-    from quireflow.sources.page_sink import recognition_json
-
     r = regions(spark, sf_dir).withColumn("text", F.col("l_returnflag")).withColumn("image_index", F.col("image_name"))
     return recognition_json(r)
 
 
-@query()
-def page_xml_out(spark, sf_dir):
-    from quireflow.sources.page_sink import page_xml
+_POINTS = "concat(x, ',', y, ' ', x + w, ',', y, ' ', x + w, ',', y + h, ' ', x, ',', y + h)"
 
-    r = regions(spark, sf_dir).select("image_name", "region_idx", "box", F.col("l_returnflag").alias("text"), F.array(F.struct(F.lit("MfN_Sex").alias("label"), F.lit(0).alias("start"), F.lit(1).alias("end"))).alias("spans"))
-    return page_xml(r.withColumn("width", F.lit(1920)).withColumn("height", F.lit(1080)))
+
+@query(f"""WITH {REGIONS_SQL}, e AS (SELECT *, {_POINTS} AS p, repeat(' ', 12) AS i FROM regions),
+r AS (SELECT image_name, region_idx, '            <RegionRefIndexed index="' || region_idx || '" regionRef="TextRegion_' || region_idx || '"/>' AS o,
+ '        <TextRegion id="TextRegion_' || region_idx || '" custom="readingOrder {{index:' || region_idx || ';}}">' || chr(10) || i || '<Coords points="' || p || '"/>' || chr(10)
+ || i || '<TextLine custom="readingOrder {{index:' || region_idx || ';}}' || CASE WHEN l_returnflag = 'N' THEN '' ELSE ' ' || l_returnflag || ' {{offset:' || x || '; length:' || w || ';}}' END || '" id="line_1">' || chr(10)
+ || i || '    <Coords points="' || p || '"/>' || chr(10) || i || '    <Baseline points="' || p || '"/>' || chr(10) || i || '    <TextEquiv>' || chr(10) || i || '        <Unicode>' || l_returnflag || '</Unicode>' || chr(10) || i || '    </TextEquiv>' || chr(10) || i || '</TextLine>' || chr(10)
+ || i || '<TextEquiv>' || chr(10) || i || '    <Unicode>' || l_returnflag || '</Unicode>' || chr(10) || i || '</TextEquiv>' || chr(10)
+ || CASE WHEN l_returnflag = 'R' THEN i || '<EntityLinking id="entity_linking_0" text="place" label="Geo_Town" geoname_ids="[' || (image_name % 100) || ', 7]"/>' || chr(10) ELSE '' END || '        </TextRegion>' AS t FROM e)
+SELECT image_name, '<PcGts xmlns="{NAMESPACE}">' || chr(10) || '    <Metadata>' || chr(10) || '        <Creator>quireflow</Creator>' || chr(10) || '        <Created>2024-05-06T07:08:09.000000</Created>' || chr(10) || '        <LastChange>2024-05-06T07:08:09.000000</LastChange>' || chr(10) || '    </Metadata>' || chr(10)
+ || '    <Page imageFilename="' || image_name || '" imageWidth="1920" imageHeight="1080">' || chr(10) || '        <ReadingOrder>' || chr(10) || '            <OrderedGroup id="ro_group_1">' || chr(10) || string_agg('    ' || o, chr(10) ORDER BY region_idx) || chr(10) || '            </OrderedGroup>' || chr(10) || '        </ReadingOrder>' || chr(10)
+ || string_agg(t, chr(10) ORDER BY region_idx) || chr(10) || '    </Page>' || chr(10) || '</PcGts>' AS xml FROM r GROUP BY image_name""")
+def page_xml_out(spark, sf_dir):
+    return page_xml(_assembled(spark, sf_dir), at=F.lit("2024-05-06 07:08:09").cast("timestamp"))
 
 
 # ---------------------------------------------------------------- experiment metrics
@@ -395,11 +449,11 @@ def metric_flush_cumulative(spark, sf_dir):
     return metrics.cumulative_flushes(table(spark, sf_dir, "events"), "event_id", 500, "value").withColumn("total", F.round("total", 4))
 
 
-@query("SELECT coalesce(a.event_id, b.event_id) AS event_id, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 6) AS difference FROM (SELECT * FROM events WHERE event_id % 3 <> 0) a FULL JOIN (SELECT event_id, value * 2 AS value FROM events WHERE event_id % 2 = 0) b ON a.event_id = b.event_id")
+@query("SELECT coalesce(a.event_id, b.event_id) AS event_id, a.value AS value_a, b.value AS value_b, round(b.value - a.value, 6) AS difference FROM events a FULL JOIN (SELECT event_id + 7 AS event_id, value * 2 AS value FROM events) b ON a.event_id = b.event_id")
 def run_comparison(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    other = e.where("event_id % 2 = 0").withColumn("value", F.col("value") * 2)
-    return metrics.compared_runs(e.where("event_id % 3 <> 0"), other, ["event_id"], "value").withColumn("difference", F.round("difference", 6))
+    other = e.select((F.col("event_id") + 7).alias("event_id"), (F.col("value") * 2).alias("value"))
+    return metrics.compared_runs(e, other, ["event_id"], "value").withColumn("difference", F.round("difference", 6))
 
 
 @query("SELECT event_id, event_type, value FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, event_type, value FROM events WHERE value > 50")
@@ -416,7 +470,7 @@ def event_props(spark, sf_dir):
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
 def stream_flush(spark, sf_dir):
     """The metric stream run to its end over all files there are; its sink's last flush holds the whole run."""
-    base = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/checkpoints')}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     kind = "event_id bigint, user_id bigint, event_type string, value double"
     flush_metrics(spark, sf_dir, kind, 1, f"{base}/out", f"{base}/state", "event_type", "value", "events.parquet").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("event_type", "n", F.round("total", 4).alias("total"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,14 +10,33 @@ from quireflow.config import IMAGE_NAME
 from quireflow.functions.text import stem
 
 
+def list_images(spark: SparkSession, path: str) -> DataFrame:
+    """(image_name, path) of every file in a folder, not below it; contents are not read."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("image_name"), "path")
+
+
 def first_images(names: DataFrame, most: int, name: str = "image_name") -> DataFrame:
     """The first `most` files by name (all, if not positive), then only images; image_index counts every file.
 
-    With a limit only that many rows are ranked; the whole listing is ranked only when all of it is asked for.
+    With a limit only that many rows are ranked. Without one the listing is sorted by range, numbered inside each range,
+    and each range is lifted by the number of files in those before it.
     """
-    chosen = names.orderBy(name).limit(most) if most > 0 else names
-    ranked = chosen.withColumn("image_index", F.row_number().over(Window.orderBy(name)) - 1)
-    return ranked.where(F.lower(name).rlike(IMAGE_NAME))
+    if most > 0:
+        ranked = names.orderBy(name).limit(most).withColumn("image_index", F.row_number().over(Window.orderBy(name)) - 1)
+        return ranked.where(F.lower(name).rlike(IMAGE_NAME))
+    # kept, so that both uses see the same ranges
+    ordered = names.orderBy(name).withColumn("_place", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    numbered = ordered.select("*", F.shiftright("_place", 33).alias("_range"), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_in"))
+    counts = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    before = counts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    ranked = numbered.join(F.broadcast(before), "_range").withColumn("image_index", (F.col("_in") + F.col("_before")).cast("int"))
+    return ranked.drop("_place", "_range", "_in", "_before").where(F.lower(name).rlike(IMAGE_NAME))
+
+
+def nth_file(names: DataFrame, n: int, name: str = "image_name", suffixes: tuple[str, ...] = ("png", "jpg", "jpeg")) -> DataFrame:
+    """The n-th file by name, from 0, of those with one of the suffixes (case counts)."""
+    return names.where(F.col(name).rlike(rf"\.({'|'.join(suffixes)})$")).orderBy(name).offset(n).limit(1)
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
@@ -30,3 +50,8 @@ def with_truth(images: DataFrame, pages: DataFrame) -> DataFrame:
     keyed = images.withColumn("_stem", stem(F.col("image_name")))
     truth = pages.withColumnRenamed("image_name", "_stem")
     return keyed.join(truth, "_stem", "left").drop("_stem")
+
+
+def without_truth(images: DataFrame, pages: DataFrame) -> DataFrame:
+    """Names of images that have no ground truth, for a warning."""
+    return images.select("image_name", stem(F.col("image_name")).alias("_stem")).join(pages.select(F.col("image_name").alias("_stem")), "_stem", "left_anti").select("image_name")

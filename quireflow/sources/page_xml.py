@@ -25,13 +25,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_regions(pages: DataFrame) -> DataFrame:
-    """A row per region: its own last text, else its last line's; '' without any; null where the element is empty."""
+    """A row per region: its own last text, else the last that any of its lines has; '' without any; null where the element is empty."""
     r = pages.select("image_name", F.posexplode("regions").alias("region_idx", "r"))
-    last_line = F.try_element_at(F.col("r.TextLine"), F.lit(-1))
-    own = F.when(F.size("r.TextEquiv") > 0, F.try_element_at("r.TextEquiv", F.lit(-1))["Unicode"])
-    from_line = F.when(F.size(last_line["TextEquiv"]) > 0, F.try_element_at(last_line["TextEquiv"], F.lit(-1))["Unicode"])
-    has_any = (F.coalesce(F.size("r.TextEquiv"), F.lit(0)) > 0) | (F.coalesce(F.size(last_line["TextEquiv"]), F.lit(0)) > 0)
-    text = F.when(F.coalesce(F.size("r.TextEquiv"), F.lit(0)) > 0, own).when(has_any, from_line).otherwise(F.lit(""))
+    none = F.array().cast(_EQUIV)
+    of_lines = F.flatten(F.transform("r.TextLine", lambda x: F.coalesce(x["TextEquiv"], none)))
+    own, below = F.coalesce("r.TextEquiv", none), F.coalesce(of_lines, none)
+    # a region's own texts stand behind its lines
+    text = F.when(F.size(own) > 0, F.try_element_at(own, F.lit(-1))["Unicode"]).when(F.size(below) > 0, F.try_element_at(below, F.lit(-1))["Unicode"]).otherwise(F.lit(""))
     lines = F.transform("r.TextLine", lambda x: F.coalesce(F.try_element_at(x["TextEquiv"], F.lit(-1))["Unicode"], F.lit("")))
     points = F.try_element_at("r.Coords", F.lit(1))["_points"]
     return r.select(
