@@ -1,78 +1,5 @@
-"""Corpus preparation in five stages: language, quality, repeated lines, near-duplicates, packed sequences.
+"""The corpus pipeline, as a driver finds it: STAGES, ORACLE_SQL and run(spark, sf_dir) of quireflow.llm.pipeline."""
 
-Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; run() writes a stage's result as
-Parquet in the shared folder and reads it again as the next one's input.
-"""
+from quireflow.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quireflow.llm.common import stored, table
-from quireflow.llm.language import UND, learn, predict
-from quireflow.llm.line_dedup import dedup_lines
-from quireflow.llm.packing import pack_query
-from quireflow.llm.quality_rules import apply_rules
-from quireflow.llm.simhash import near_duplicates
-
-#: Below this mean posterior, a text's words belong to no language that was learned.
-LEAST_LANGUAGE_SCORE = 0.4
-
-
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; the languages are learned from these documents' own labels."""
-    found = predict(docs, learn(docs), out="_language")
-    return found.where((F.col("_language.lang") != UND) & (F.col("_language.score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
-
-
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that keep all quality rules.
-
-    The verdict is written before it filters: the optimizer would push the filter down, and with it copies of every
-    measure it is made of.
-    """
-    judged = apply_rules(docs, name="_measures")
-    return stored(judged.select(*docs.columns, F.col("_measures.kept").alias("_kept")), "judged").where("_kept").select(*docs.columns)
-
-
-def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand elsewhere; a document that lost all its words goes with them."""
-    out = dedup_lines(docs, removed="_removed")
-    lost = F.size("_removed") > 0
-    kept = out.where(~lost | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return kept.withColumn("n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
-
-
-def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates; rows without an id belong to no group and stay."""
-    groups = near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    first = stored(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first_of_group")
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences along the space-filling curve."""
-    return pack_query(docs)
-
-
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", language_stage),
-    ("quality_rules", quality_stage),
-    ("line_dedup", line_stage),
-    ("near_dedup", near_stage),
-    ("packing", packing_stage),
-]
-
-#: Trained and iterative stages have no SQL; tests hold the result against a brute-force version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]

@@ -28,11 +28,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import slices, table
+from .common import free_name, slices, table
 
 UND = "und"
 #: Documents a language is learned from, segments a document gives, words a segment holds.
 SAMPLE_DOCS, SEGMENTS, SEGMENT_WORDS = 150, 4, 48
+#: Languages that are learned at most, the most frequent ones; labels beyond are taken for mistakes.
+MOST_LANGUAGES = 64
 LEXICON, CHUNK, MEMORY = 300, 256, 150_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -47,7 +49,7 @@ def words_of(text: str | None) -> list[str]:
 
 def features(word: str) -> list[str]:
     """Affixes up to three characters, two- and three-grams with the word's ends, and its length class."""
-    w = f"^{word[:40]}$" if len(word) <= 40 else f"^{word[:20]}{word[-20:]}$"
+    w = f"^{word}$"
     grams = [w[i : i + 2] for i in range(len(w) - 1)] + [w[i : i + 3] for i in range(len(w) - 2)]
     affixes = [f"<{word[:k]}" for k in (1, 2, 3)] + [f">{word[-k:]}" for k in (1, 2, 3)]
     return [*grams, *affixes, f"#{min(len(word), 12)}"]
@@ -199,12 +201,12 @@ class Labeller:
 
 def sample_segments(docs: DataFrame, text_col: str, lang_col: str, id_col: str, sample_docs: int = SAMPLE_DOCS) -> list[tuple[str, list[str]]]:
     """Labelled segments of about sample_docs documents of each language; only these reach the driver."""
-    counts = docs.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()
+    counts = docs.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
     if not counts:
         return []
     share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, sample_docs / r[1]))])
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = docs.where(F.col(lang_col).isNotNull() & (place < share[F.col(lang_col)]))
+    chosen = docs.where(F.col(lang_col).isin([r[0] for r in counts]) & (place < share[F.col(lang_col)]))
     plain = chosen.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,18 +232,20 @@ def sample_segments(docs: DataFrame, text_col: str, lang_col: str, id_col: str,
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+    """A fifth of the ids; rows without an id are held out as well."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 _RESULT = "lang string, score double, spans array<struct<lang:string,first_word:int,n_words:int>>"
 
 
 def predict(docs: DataFrame, field: Field | None, text_col: str = "text", out: str = "language") -> DataFrame:
-    """The input (a column named like the result is replaced) with a struct: lang, score (mean posterior of that
+    """The input with a struct (underscores are added to its name if the input has it): lang, score (mean posterior of that
     language), and spans, the runs of words with one language (lang, first word, words) in text order."""
     span = pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
     arrow = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(span))])
-    rows = docs.drop(out).withColumn(text_col, F.col(text_col).cast("string"))
+    out = free_name(docs, out)
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(field)  # bounded by the training sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,8 @@ Measures are built-in array and string expressions over the whole text; repeated
 sorting a row's window hashes with their places, so cost stays n log n for very long texts.
 
 Edge cases: a null text has no words and fails the base rule, as an empty one does; ratios over nothing count as 0;
-an empty table gives an empty result; repeated rows are judged one by one; columns of the input are kept if asked
-for, and measures live in one struct, so no name clashes.
+an empty table gives an empty result; repeated rows are judged one by one; columns of the input are kept, and
+the struct of measures has underscores added to its name if an input column has it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free_name, table
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -124,7 +124,8 @@ def compiled(rules: tuple[Rule, ...], name: str = "measures") -> Column:
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, name: str = "measures") -> DataFrame:
-    """The input with its measures and, in the same struct, base_failed and kept. One projection, no shuffle."""
+    """The input with its measures and, in the same struct, base_failed and kept, as the last column. One projection, no shuffle."""
+    name = free_name(docs, name)
     whole = measured(docs, text_col, name)
     base = compiled(BASE_RULES, name)
     return whole.withColumn(name, F.struct(f"{name}.*", (~base).alias("base_failed"), (base & compiled(rules, name)).alias("kept")))

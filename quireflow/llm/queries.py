@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
 from .chat import op8_chat_windows, windows_sql
 from .language import op5_language_crf
 from .licenses import op1_license_scan
@@ -15,6 +13,7 @@ from .line_dedup import op4_line_dedup
 from .media import op6_media_sequences
 from .packing import op2_curve_packing
 from .pieces import op7_piece_viterbi
+from .pipeline import run as pipeline
 from .quality_rules import op10_quality_rules, rules_sql
 from .simhash import op3_simhash
 from .weak_quality import op9_weak_quality
@@ -30,7 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {"op8_chat_windows": windows_sql(), "op10_quality_rules": rules_sql()}

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lowered_words, slices, stored, table
+from .common import free_name, lowered_words, slices, stored, table
 from .components import components
 
 SHINGLE, RADIUS, SEED, TILE, SUB_TILE = 4, 4, 42, 4096, 512
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps)], ["id", "fp"])
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return plain.mapInArrow(run, f"id {id_type}, fp bigint").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(run, f"id {id_type}, fp bigint").withColumnsRenamed({"id": id_col})
 
 
 def block_masks(n: int, radius: int) -> list[int]:
@@ -164,15 +164,25 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, tile: int = TIL
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "ones").mapInArrow(_tile_links(radius), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Per row: id, fp (signed long) and component_id, the smallest id of its group."""
-    coded = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def grouped(coded: DataFrame, id_col: str, radius: int = RADIUS) -> DataFrame:
+    """(fp, first) of rows (id, fp) that were stored: the smallest id of each fingerprint's group, a row per fingerprint.
+
+    Joins on fp and root are of distinct fingerprints, so a group of copies is one row there.
+    """
     distinct = stored(coded.groupBy("fp").agg(F.min(id_col).alias("first_id")), "distinct")
     roots = components(fingerprint_links(distinct.select("fp"), radius), "a", "b")
-    groups = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = groups.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = stored(groups.join(named, "root").select("fp", "component_id"), "groups")
-    return coded.join(of, "fp").select(id_col, "fp", "component_id")
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("first_id").alias("first"))
+    return rooted.join(named, "root").select("fp", "first")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Per row: id, fp (signed long) and component_id, the smallest id of its group (with an underscore if the id has that name)."""
+    plain = docs.select(F.col(id_col).alias("_sh_id"), F.col(text_col).alias("_sh_text"))
+    coded = stored(fingerprints(plain, "_sh_id", "_sh_text", shingle), "fingerprints")
+    of = stored(grouped(coded, "_sh_id", radius).withColumnRenamed("first", "component_id"), "groups")
+    taken = plain.select(F.col("_sh_id").alias(id_col))
+    return coded.join(of, "fp").select(F.col("_sh_id").alias(id_col), F.col("fp").alias(free_name(taken, "fp")), F.col("component_id").alias(free_name(taken, "component_id")))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,11 +62,23 @@ def test_links_connect_what_brute_force_connects(spark, tile, monkeypatch):
     signed = [int(x) for x in np.array(sorted(fps), np.uint64).view(np.int64)]
     got = fingerprint_links(spark.createDataFrame([(x,) for x in signed], "fp long"), 4, tile).collect()
     near = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
-    assert {(r.a, r.b) for r in got} <= {p for pair in near for p in (pair, pair[::-1])} | {(r.a, r.b) for r in got}
+    linked = groups(signed, near)
+    assert all(linked[r.a] == linked[r.b] for r in got)
     assert groups(signed, [(r.a, r.b) for r in got]) == groups(signed, near)
     assert len(got) < 40 * len(signed)
 
 
+def test_many_fingerprints_in_one_group(spark):
+    rng = np.random.default_rng(3)
+    low = rng.choice(1 << 22, 30_000, replace=False)  # all agree on 42 bits, so they share buckets of several tiles
+    fps = spark.createDataFrame([(int(x),) for x in low], "fp long")
+    got = components(fingerprint_links(fps, 4, 4096), "a", "b").collect()
+    root = {int(x): int(x) for x in low} | {r.node: r.root for r in got}
+    for x in low[:300]:
+        near = low[np.bitwise_count(low ^ x) <= 4]
+        assert {root[int(y)] for y in near} == {root[int(x)]}
+
+
 def test_components_on_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 301), (301, 300), (302, 302)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
@@ -79,6 +91,8 @@ def test_edge_rows(spark):
     rows = [(5, None, "x"), (3, "", "x"), (9, "a b c d e f", "x"), (2, "A B C D E F", "x"), (2, "a b c d e f", "x"), (None, "q r s t u", "x"), (7, "word " * 30_000, "x")]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, fp string")).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (2, 2), (2, 2), (3, 3), (5, 3), (7, 7), (9, 2)]
+    clash = near_duplicates(spark.createDataFrame([("b", "x y"), ("a", "x y")], "fp string, component_id string"), "fp", "component_id")
+    assert clash.columns == ["fp", "fp_", "component_id"] and {r.component_id for r in clash.collect()} == {"a"}
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
