@@ -7,7 +7,7 @@ shapes, fitted on a bounded sample of documents and applied to all of them.
 
 Edge cases: null and empty texts have no words, so only the length labeller votes, and no features, so the scorer
 falls back to its bias; an empty table gives an empty result; repeated rows are judged one by one and all count;
-texts of any length are read whole; other columns are left alone. There are at most 3**8 vote patterns.
+texts of any length are read whole; a score of just 0.5 counts as good; other columns are left alone. There are at most 3**8 vote patterns.
 """
 
 from __future__ import annotations

@@ -1,4 +1,8 @@
+import math
+
 import numpy as np
+import pyarrow.parquet as pq
+import pytest
 
 from quireflow.llm.weak_quality import BUCKETS, classify, fit_labellers, fit_scorer, hashed, op9_weak_quality, votes
 
@@ -44,3 +48,66 @@ def test_agrees_with_labels(spark):
     wins = np.mean([[(g > b) + 0.5 * (g == b) for b in bad] for g in good])
     assert wins > 0.95
     assert np.mean([g >= 0.5 for g in good]) > 0.97
+    assert np.mean([b < 0.5 for b in bad]) > 0.8
+
+
+def slow_posteriors(cast, rounds=200):
+    """Expectation-maximisation document by document, in plain loops."""
+    good = [1 / (1 + math.exp(-1.5 * sum({"+": 1, "-": -1, ".": 0}[c] for c in v))) for v in cast]
+    n = len(cast)
+    for _ in range(rounds):
+        prior = (sum(good) + 1) / (n + 2)
+        rate = []
+        for j in range(len(cast[0])):
+            count = {k: {c: 0.5 for c in "-.+"} for k in (0, 1)}
+            for g, v in zip(good, cast, strict=True):
+                count[1][v[j]] += g
+                count[0][v[j]] += 1 - g
+            rate.append({k: {c: x / sum(count[k].values()) for c, x in count[k].items()} for k in (0, 1)})
+        new = []
+        for v in cast:
+            one = math.log(prior) + sum(math.log(rate[j][1][c]) for j, c in enumerate(v))
+            none = math.log(1 - prior) + sum(math.log(rate[j][0][c]) for j, c in enumerate(v))
+            new.append(1 / (1 + math.exp(min(500, max(-500, none - one)))))
+        if max(abs(a - b) for a, b in zip(new, good, strict=True)) < 1e-9:
+            return good
+        good = new
+    return good
+
+
+def slow_scores(texts, soft, rounds=60, rate=0.5):
+    """The scorer in dictionaries, a document at a time."""
+    rows = [dict(zip(*(x.tolist() for x in hashed(t)), strict=True)) for t in texts]
+    share = min(0.98, max(0.02, sum(soft) / len(soft)))
+    weigh = [(y / share + (1 - y) / (1 - share)) / 2 for y in soft]
+    weight, seen = {"bias": 0.0}, {}
+    score = lambda row: weight["bias"] + sum(10 * v * weight.get(a, 0.0) for a, v in row.items())
+    for _ in range(rounds):
+        grad = {"bias": -1e-3 * weight["bias"]} | {a: -1e-3 * w for a, w in weight.items() if a != "bias"}
+        for row, y, m in zip(rows, soft, weigh, strict=True):
+            error = (y - 1 / (1 + math.exp(-score(row)))) * m
+            grad["bias"] += error
+            for a, v in row.items():
+                grad[a] = grad.get(a, 0.0) + 10 * v * error
+        for a, g in grad.items():
+            seen[a] = seen.get(a, 1e-8) + g * g
+            weight[a] = weight.get(a, 0.0) + rate * g / math.sqrt(seen[a])
+    return [1 / (1 + math.exp(-score(row))) for row in rows]
+
+
+def test_query_against_brute_force(spark):
+    docs = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()
+    got = {r.doc_id: r for r in op9_weak_quality(spark, "/root/testdata/sf0.001").collect()}
+    cast = [votes(d["text"]) for d in docs]
+    soft = slow_posteriors(cast)
+    scores = slow_scores([d["text"] for d in docs], soft)
+    for d, v, p, s in zip(docs, cast, soft, scores, strict=True):
+        r = got[d["doc_id"]]
+        assert r.votes == v and r.posterior == pytest.approx(p, abs=1e-6) and r.score == pytest.approx(s, abs=1e-4)
+        assert r.kept == (r.score >= 0.5) == bool(r.label)
+
+
+def test_other_columns_do_not_disturb(spark):
+    rows = [(1, "The cat sat on the mat.", "a", "b", "c")]
+    plain = classify(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).first()
+    assert classify(spark.createDataFrame(rows, "doc_id long, text string, votes string, id string, t string")).first() == plain
