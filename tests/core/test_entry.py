@@ -19,6 +19,17 @@ def test_entry_works_without_the_training_data_subpackage(tmp_path, leftover):
     assert done.returncode == 0, done.stderr
 
 
+def test_entry_works_where_the_subpackage_cannot_be_imported(tmp_path):
+    (tmp_path / "quireflow/llm").mkdir(parents=True)
+    shutil.copytree(f"{ROOT}/quireflow", tmp_path / "quireflow", ignore=shutil.ignore_patterns("llm", "__pycache__"), dirs_exist_ok=True)
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    (tmp_path / "quireflow/llm/__init__.py").write_text("")
+    (tmp_path / "quireflow/llm/queries.py").write_text("import a_library_that_is_not_there")
+    code = "import __spark_entry__ as e; assert 'tag_prf' in e.queries() and not any(k.startswith('op') for k in e.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert done.returncode == 0 and "a_library_that_is_not_there" in done.stderr, done.stderr
+
+
 def test_flagship(spark):
     import __spark_entry__ as e
 
