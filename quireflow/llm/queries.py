@@ -16,6 +16,7 @@ from .pieces import op7_piece_viterbi
 from .pipeline import run as pipeline
 from .quality_rules import op10_quality_rules, rules_sql
 from .simhash import op3_simhash
+from .tree_bpe import op11_tree_bpe
 from .weak_quality import op9_weak_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
+    "op11_tree_bpe": op11_tree_bpe,
     "pipeline": pipeline,
 }
 
