@@ -18,6 +18,7 @@ from .quality_rules import op10_quality_rules, rules_sql
 from .simhash import op3_simhash
 from .tree_bpe import op11_tree_bpe
 from .weak_quality import op9_weak_quality
+from .whitening import op12_jacobi_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
     "op11_tree_bpe": op11_tree_bpe,
+    "op12_jacobi_whitening": op12_jacobi_whitening,
     "pipeline": pipeline,
 }
 
