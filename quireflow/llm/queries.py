@@ -17,6 +17,7 @@ from .pipeline import run as pipeline
 from .quality_rules import op10_quality_rules, rules_sql
 from .simhash import op3_simhash
 from .tree_bpe import op11_tree_bpe
+from .vector_codes import op13_ball_codes
 from .weak_quality import op9_weak_quality
 from .whitening import op12_jacobi_whitening
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_tree_bpe": op11_tree_bpe,
     "op12_jacobi_whitening": op12_jacobi_whitening,
+    "op13_ball_codes": op13_ball_codes,
     "pipeline": pipeline,
 }
 
