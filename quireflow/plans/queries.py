@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import geometry as g
 from quireflow.functions import text as t
-from quireflow.operators import evaluation, layout, linking, metrics, tagging
+from quireflow.operators import evaluation, layout, linking, metrics, raster, tagging
 from quireflow.sources.images import first_images
 from quireflow.sources.page_sink import NAMESPACE, custom_string, page_xml, recognition_json, region_rows
 from quireflow.sources.tables import REGIONS_SQL, regions, shared_folder, table
@@ -134,6 +135,87 @@ def layout_avg_iou(spark, sf_dir):
     return layout.region_scores(regions(spark, sf_dir), F.col("l_linestatus") == "O", F.col("l_returnflag") != "N").withColumn("avg_iou", F.round("avg_iou", 9))
 
 
+# ---------------------------------------------------------------- masks as rows
+
+#: Region outlines: a star that crosses itself, or a frame around an opening, in the region's box; the page is 128 by 84 pixels.
+_STAR = (["x", "x + w // 2", "x + w", "x", "x + w"], ["y + h", "y", "y + h", "y + h // 3", "y + h // 3"])
+_FRAME = (["x", "x + w", "x + w", "x", "x", "x + w // 4", "x + w - w // 4", "x + w - w // 4", "x + w // 4", "x + w // 4"], ["y", "y", "y + h", "y + h", "y", "y + h // 4", "y + h // 4", "y + h - h // 4", "y + h - h // 4", "y + h // 4"])
+_PAGE = (128, 84)
+_DOWN = lambda a, b: f"(({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b})"
+_FILLED = f"""polys AS (SELECT image_name, region_idx, CASE WHEN region_idx % 2 = 0 THEN [{", ".join(_STAR[0])}] ELSE [{", ".join(_FRAME[0])}] END AS xs, CASE WHEN region_idx % 2 = 0 THEN [{", ".join(_STAR[1])}] ELSE [{", ".join(_FRAME[1])}] END AS ys FROM regions),
+sides AS (SELECT image_name, region_idx, xs[i]::BIGINT AS ax, ys[i]::BIGINT AS ay, xs[i % len(xs) + 1]::BIGINT AS bx, ys[i % len(xs) + 1]::BIGINT AS by_ FROM (SELECT *, unnest(range(1, len(xs) + 1)) AS i FROM polys)),
+up AS (SELECT image_name, region_idx, CASE WHEN ay <= by_ THEN ax ELSE bx END AS tx, least(ay, by_) AS ty, CASE WHEN ay <= by_ THEN bx ELSE ax END AS ux, greatest(ay, by_) AS uy FROM sides),
+cut AS (SELECT image_name, region_idx, y, tx + ((y - ty) * (ux - tx))::DOUBLE / (uy - ty) AS place, tx - ({_DOWN("-((y - ty) * (ux - tx))", "uy - ty")}) AS l, tx + ({_DOWN("(y - ty) * (ux - tx)", "uy - ty")}) AS r FROM (SELECT *, unnest(range(ty, uy)) AS y FROM up WHERE ty < uy)),
+pair AS (SELECT *, lead(r) OVER v AS e, row_number() OVER v AS n FROM cut WINDOW v AS (PARTITION BY image_name, region_idx, y ORDER BY place)),
+walk AS (SELECT image_name, region_idx, steep, CASE WHEN m0 <= m1 THEN m0 ELSE m1 END AS ma, CASE WHEN m0 <= m1 THEN o0 ELSE o1 END AS oa, greatest(m0, m1) AS mb, CASE WHEN m0 <= m1 THEN o1 ELSE o0 END AS ob
+  FROM (SELECT *, CASE WHEN steep THEN ay ELSE ax END AS m0, CASE WHEN steep THEN ax ELSE ay END AS o0, CASE WHEN steep THEN by_ ELSE bx END AS m1, CASE WHEN steep THEN bx ELSE by_ END AS o1 FROM (SELECT *, abs(by_ - ay) >= abs(bx - ax) AS steep FROM sides))),
+step AS (SELECT image_name, region_idx, steep, m, oa + ({_DOWN("2 * (m - ma) * (ob - oa) + greatest(mb - ma, 1)", "2 * greatest(mb - ma, 1)")}) AS o FROM (SELECT *, unnest(range(ma, mb + 1)) AS m FROM walk)),
+run AS (SELECT image_name, region_idx, y, l AS x0, e + 1 AS x1 FROM pair WHERE n % 2 = 1 AND e IS NOT NULL AND l <= e UNION ALL SELECT image_name, region_idx, CASE WHEN steep THEN m ELSE o END, CASE WHEN steep THEN o ELSE m END, CASE WHEN steep THEN o ELSE m END + 1 FROM step),
+mark AS (SELECT *, CASE WHEN x0 <= max(x1) OVER (PARTITION BY image_name, region_idx, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM run),
+isle AS (SELECT *, sum(new) OVER (PARTITION BY image_name, region_idx, y ORDER BY x0, x1) AS island FROM mark),
+filled AS (SELECT image_name, region_idx, y, min(x0) AS x0, max(x1) AS x1 FROM isle GROUP BY image_name, region_idx, y, island)"""
+
+
+def _outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_name, region_idx, polygon, width, height) of all regions."""
+
+    def points(of: tuple[list[str], list[str]]):
+        column = lambda e: F.expr(re.sub(r"(\w) // (\d)", r"(\1 div \2)", e)).cast("int")
+        return F.array(*[F.struct(column(x).alias("x"), column(y).alias("y")) for x, y in zip(*of, strict=True)])
+
+    boxed = regions(spark, sf_dir).select("image_name", "region_idx", "box.*", "l_linestatus", "l_returnflag")
+    shape = F.when(F.col("region_idx") % 2 == 0, points(_STAR)).otherwise(points(_FRAME))
+    return boxed.select("image_name", "region_idx", shape.alias("polygon"), F.lit(_PAGE[0]).alias("width"), F.lit(_PAGE[1]).alias("height"), "l_linestatus", "l_returnflag")
+
+
+_KEY = ["image_name", "region_idx"]
+
+
+@query(f"WITH {REGIONS_SQL}, {_FILLED} SELECT image_name, region_idx, count(*) AS n_runs, sum(x1 - x0)::BIGINT AS area, sum((y * 131 + x0) * 17 + x1)::BIGINT AS checked FROM filled GROUP BY image_name, region_idx")
+def polygon_fill(spark, sf_dir):
+    runs = raster.polygon_runs(_outlines(spark, sf_dir), _KEY)
+    return runs.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_runs"), F.sum(F.col("x1") - F.col("x0")).alias("area"), F.sum((F.col("y") * 131 + F.col("x0")) * 17 + F.col("x1")).alias("checked"))
+
+
+_SHARED = """px AS (SELECT image_name, region_idx, sum(x1 - x0) AS area FROM filled GROUP BY ALL), flagged AS (SELECT image_name, region_idx, l_linestatus = 'O' AS g, l_returnflag <> 'N' AS p FROM regions),
+met AS (SELECT a.image_name, a.region_idx AS gt_idx, b.region_idx AS pred_idx, sum(greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)))::BIGINT AS shared
+  FROM filled a JOIN flagged ga ON ga.image_name = a.image_name AND ga.region_idx = a.region_idx AND ga.g JOIN filled b ON a.image_name = b.image_name AND a.y = b.y JOIN flagged gb ON gb.image_name = b.image_name AND gb.region_idx = b.region_idx AND gb.p GROUP BY ALL),
+pairs AS (SELECT m.image_name, gt_idx, pred_idx, shared, (a.area + b.area - shared)::BIGINT AS joint FROM met m JOIN px a ON a.image_name = m.image_name AND a.region_idx = gt_idx JOIN px b ON b.image_name = m.image_name AND b.region_idx = pred_idx WHERE shared > 0)"""
+
+
+def _mask_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outlines = _outlines(spark, sf_dir)
+    words = lambda of, name: raster.run_words(raster.polygon_runs(of, _KEY).withColumn("width", F.lit(_PAGE[0])), _KEY).withColumnRenamed("region_idx", name)
+    return raster.mask_overlaps(words(outlines.where("l_linestatus = 'O'"), "gt_idx"), words(outlines.where("l_returnflag <> 'N'"), "pred_idx"))
+
+
+@query(f"WITH {REGIONS_SQL}, {_FILLED}, {_SHARED} SELECT image_name, gt_idx, pred_idx, shared, joint, round(shared / joint, 9) AS iou FROM pairs")
+def mask_overlap(spark, sf_dir):
+    return _mask_pairs(spark, sf_dir).withColumn("iou", F.round("iou", 9))
+
+
+@query(f"""WITH {REGIONS_SQL}, {_FILLED}, {_SHARED}, best AS (SELECT image_name, gt_idx, max(shared / joint) AS m FROM pairs GROUP BY ALL), s AS (SELECT image_name, sum(m) AS s, count(*) AS c FROM best GROUP BY ALL),
+n AS (SELECT image_name, sum(g::INT)::BIGINT AS n_gt, sum(p::INT)::BIGINT AS n_pred FROM flagged WHERE g OR p GROUP BY ALL)
+SELECT image_name, n_gt, n_pred, round(coalesce(s, 0) / nullif(coalesce(c, 0) + abs(n_gt - n_pred), 0), 9) AS avg_iou FROM n LEFT JOIN s USING (image_name)""")
+def mask_avg_iou(spark, sf_dir):
+    counts = layout.region_counts(*_sides(spark, sf_dir))
+    return layout.average_iou(_mask_pairs(spark, sf_dir), counts).withColumn("avg_iou", F.round("avg_iou", 9))
+
+
+@query(f"""WITH RECURSIVE {REGIONS_SQL}, {_FILLED},
+size AS (SELECT image_name, region_idx, min(x0) AS x, min(y) AS y, max(x1) - min(x0) AS w, max(y) - min(y) + 1 AS h, sum(x1 - x0)::BIGINT AS area FROM filled GROUP BY image_name, region_idx),
+between_ AS (SELECT * FROM (SELECT image_name, region_idx, y, lag(x1) OVER (PARTITION BY image_name, region_idx, y ORDER BY x0) AS a, x0 AS b FROM filled) WHERE a IS NOT NULL),
+ends AS (SELECT image_name, region_idx, y, min(x0) AS first, max(x1) AS last FROM filled GROUP BY ALL),
+free AS (SELECT g.image_name, g.region_idx, g.y, g.a, g.b FROM between_ g LEFT JOIN ends u ON u.image_name = g.image_name AND u.region_idx = g.region_idx AND u.y = g.y - 1 LEFT JOIN ends d ON d.image_name = g.image_name AND d.region_idx = g.region_idx AND d.y = g.y + 1
+  WHERE u.y IS NULL OR d.y IS NULL OR g.a < u.first OR g.b > u.last OR g.a < d.first OR g.b > d.last),
+reached(image_name, region_idx, y, a, b) AS (SELECT * FROM free UNION SELECT g.image_name, g.region_idx, g.y, g.a, g.b FROM reached r JOIN between_ g ON g.image_name = r.image_name AND g.region_idx = r.region_idx AND abs(g.y - r.y) = 1 AND g.a < r.b AND r.a < g.b),
+shut AS (SELECT image_name, region_idx, sum(b - a)::BIGINT AS hole_px FROM (SELECT * FROM between_ EXCEPT SELECT * FROM reached) GROUP BY ALL)
+SELECT image_name, region_idx, x, y, w, h, area, coalesce(hole_px, 0)::BIGINT AS hole_px, hole_px IS NOT NULL AS has_holes FROM size LEFT JOIN shut USING (image_name, region_idx)""")
+def mask_holes(spark, sf_dir):
+    runs = raster.polygon_runs(_outlines(spark, sf_dir), _KEY)
+    return raster.with_holes(runs, _KEY).drop("n_holes")
+
+
 # ---------------------------------------------------------------- readings
 
 _READ = "SELECT a.p_partkey AS k, a.p_name || ' ' || a.p_type AS truth, b.p_name || ' ' || b.p_type AS read FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1"
