@@ -53,6 +53,7 @@ class Settings:
     least_fill: float = 0.9
     closing_kernel: int = 20
     backend: str = "moondream"
+    prompt: str = ""  # what a backend that is asked is asked; it has no default
     label_prefix: str = ""
     uri_host: str = "coll.example.org"
     rule_labels: tuple[str, ...] = RULE_LABELS

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from itertools import permutations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -89,16 +89,21 @@ def _reroute(serves: dict[int, int], tight: list[list[int]], column: int, row: i
 FEW = 3
 
 
-def assigned_errors(texts: DataFrame, key: str) -> DataFrame:
+def assigned_errors(texts: DataFrame, key: str, watch: Observation | None = None) -> DataFrame:
     """(key, bb_index, cer) of texts (key, idx, side 'gt' or 'pred', text), each prediction serving one truth so that
-    all edits together are fewest (ties: the lexicographically first order). Keys with different counts give no rows.
+    all edits together are fewest (ties: the lexicographically first order). Keys with different counts give no rows; watch
+    counts them (unequal) in the same pass. A null reading counts as empty, so it costs all of its truth.
 
     A key's texts meet in one row by one aggregate. Edit distances and, for up to FEW texts, the assignment are built-in
     expressions; Python sees the cost matrices of larger keys only.
     """
     side = lambda s: F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("idx", "text"))))
-    grouped = texts.groupBy(key).agg(side("gt").alias("g"), side("pred").alias("p")).where((F.size("g") > 0) & (F.size("g") == F.size("p")))
-    costs = F.transform("p", lambda p: F.transform("g", lambda g: F.coalesce(F.levenshtein(p["text"], g["text"]), F.lit(0))))
+    known = texts.withColumn("text", F.coalesce("text", F.lit("")))
+    grouped = known.groupBy(key).agg(side("gt").alias("g"), side("pred").alias("p"))
+    if watch is not None:
+        grouped = grouped.observe(watch, F.count_if((F.size("g") > 0) & (F.size("g") != F.size("p"))).alias("unequal"))
+    grouped = grouped.where((F.size("g") > 0) & (F.size("g") == F.size("p")))
+    costs = F.transform("p", lambda p: F.transform("g", lambda g: F.levenshtein(p["text"], g["text"])))
     rows = grouped.select(key, F.transform("g", lambda g: F.struct(g["idx"].alias("idx"), F.length(g["text"]).alias("chars"))).alias("truths"), costs.alias("cost"))
 
     def best_of(n: int) -> Column:
@@ -138,18 +143,19 @@ def tag_scores(truth: DataFrame, predicted: DataFrame, key: list[str], group: li
     return counted.select(*group, "tp", "fp", "fn", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
-def link_scores(truth: DataFrame, predicted: DataFrame, image: str = "image_name", labels: tuple[str, ...] | None = None) -> DataFrame:
+def link_scores(truth: DataFrame, predicted: DataFrame, image: str = "image_name", labels: tuple[str, ...] | None = None, images: DataFrame | None = None) -> DataFrame:
     """tp, fp and scores of links per image: truth (image, text, geoname_id), predicted (image, text, geoname_ids).
 
     labels: only entities with one of them (column label) count, on both sides. Entities meet by surface text, many to many. There are no false negatives by definition. An image without a
-    usable truth is not valid and has null scores.
+    usable truth is not valid and has null scores. images: if given, those that neither side names have a row as well.
     """
     if labels is not None:
         truth, predicted = (side.where(F.col("label").isin(*labels)) for side in (truth, predicted))
     usable = truth.where(F.col("geoname_id").isNotNull())
     hit = F.array_contains(F.coalesce("geoname_ids", F.array().cast("array<bigint>")), F.col("geoname_id"))
     met = usable.join(predicted, [image, "text"]).groupBy(image).agg(F.count_if(hit).alias("tp"), F.count_if(~hit).alias("fp"))
-    images = truth.select(image).union(predicted.select(image)).distinct()
+    named = truth.select(image).union(predicted.select(image))
+    images = (named if images is None else named.union(images.select(image))).distinct()
     known = usable.groupBy(image).agg(F.count(F.lit(1)).alias("n"))
     out = images.join(known, image, "left").join(met, image, "left").na.fill(0, ["n", "tp", "fp"]).withColumn("fn", F.lit(0).cast("long")).withColumn("valid", F.col("n") > 0)
     scored = [F.when(F.col("valid"), s).alias(n) for s, n in zip(scores(F.col("tp"), F.col("fp"), F.col("fn")), ("precision", "recall", "f1"), strict=True)]
@@ -162,21 +168,22 @@ def line_offsets(lines: DataFrame, key: list[str], order: str, text: str, gap: i
     return lines.withColumn("start", F.coalesce(F.sum(F.length(text) + gap).over(before), F.lit(0)))
 
 
-def region_tag_scores(truth: DataFrame, predicted: DataFrame) -> DataFrame:
+def region_tag_scores(truth: DataFrame, predicted: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """(image_name, region_idx, tp, fp, fn, scores): each predicted region's spans (start, end, label) against those of
-    the image's first true region. predicted has a row per region at least, with null spans for one without any."""
-    triple = ["start", "end", "label"]
-    first = truth.groupBy("image_name").agg(F.min("region_idx").alias("region_idx"))
-    wanted = truth.join(first, ["image_name", "region_idx"]).select("image_name", *triple).na.drop().distinct()
-    regions = predicted.select("image_name", "region_idx").distinct().join(truth.select("image_name").distinct(), "image_name", "left_semi")
-    expected = regions.join(wanted, "image_name").withColumn("g", F.lit(1))
-    found = predicted.select("image_name", "region_idx", *triple).na.drop().distinct().join(regions, ["image_name", "region_idx"], "left_semi").withColumn("p", F.lit(1))
-    both = expected.join(found, ["image_name", "region_idx", *triple], "full")
-    counted = both.groupBy("image_name", "region_idx").agg(
-        F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn")
-    )
-    out = regions.join(counted, ["image_name", "region_idx"], "left").na.fill(0, ["tp", "fp", "fn"])
-    return out.select("image_name", "region_idx", "tp", "fp", "fn", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
+    the image's first true region. predicted has a row per region at least, with null spans for one without any.
+
+    regions (image_name, region_idx): all true regions, those without a span included; by default those that truth names.
+    An image's first set of spans is made once, and a region's spans meet it as a set; spans with a null are none.
+    """
+    span = F.when(F.col("start").isNotNull() & F.col("end").isNotNull() & F.col("label").isNotNull(), F.concat_ws(":", "start", "end", "label"))
+    spans = truth.select("image_name", "region_idx", span.alias("s"))
+    every = spans if regions is None else spans.union(regions.select("image_name", "region_idx", F.lit(None).cast("string")))
+    sets = lambda rows, name: rows.groupBy("image_name", "region_idx").agg(F.collect_set("s").alias(name))
+    first = sets(every, "g").groupBy("image_name").agg(F.min_by("g", "region_idx").alias("g"))
+    met = sets(predicted.select("image_name", "region_idx", span.alias("s")), "p").join(first, "image_name")
+    n = lambda of: F.size(of).cast("long")
+    counted = met.select("image_name", "region_idx", n(F.array_intersect("p", "g")).alias("tp"), n(F.array_except("p", "g")).alias("fp"), n(F.array_except("g", "p")).alias("fn"))
+    return counted.select("image_name", "region_idx", "tp", "fp", "fn", *scores(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
 def prepared_truth(lines: DataFrame, labels: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:

@@ -13,9 +13,10 @@ from quireflow.functions import geometry as g
 from quireflow.functions import text as t
 from quireflow.operators import evaluation, layout, linking, metrics, raster, tagging
 from quireflow.sources.images import first_images
+from quireflow.sources.metric_sink import MetricSink
 from quireflow.sources.page_sink import NAMESPACE, custom_string, page_xml, recognition_json, region_rows
 from quireflow.sources.tables import REGIONS_SQL, regions, shared_folder, table
-from quireflow.streaming.flush import flush_metrics
+from quireflow.streaming.flush import FLUSH, flush_metrics, flush_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -549,10 +550,24 @@ def event_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
 
 
-@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
+#: Images of a run between flushes, and files that the stream reads one by one; neither divides the other.
+_EVERY, _FILES = 7, 6
+
+
+@query(f"""WITH r AS (SELECT user_id::VARCHAR AS run, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, value FROM events),
+c AS (SELECT run, i, sum(value) OVER (PARTITION BY run ORDER BY i) AS total, count(*) OVER (PARTITION BY run) AS n FROM r)
+SELECT run, ((i - 1) // {_EVERY})::BIGINT AS flush, i AS images, round(total, 4) AS total, i % {_EVERY} = 0 AS done FROM c WHERE i % {_EVERY} = 0 OR i = n""")
 def stream_flush(spark, sf_dir):
-    """The metric stream run to its end over all files there are; its sink's last flush holds the whole run."""
+    """All events as images of their user's run, streamed file by file; a run's last flush is the one that is open when it ends."""
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    kind = "event_id bigint, user_id bigint, event_type string, value double"
-    flush_metrics(spark, sf_dir, kind, 1, f"{base}/out", f"{base}/state", "event_type", "value", "events.parquet").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("event_type", "n", F.round("total", 4).alias("total"))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("run"), "value")
+    bounds = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    if bounds.lo is None:
+        return spark.createDataFrame([], FLUSH)
+    part = F.floor((F.col("event_id") - bounds.lo) * _FILES / (bounds.hi - bounds.lo + 1))
+    for i in range(_FILES):  # one after the other, so that the stream's source finds them in this order
+        events.where(part == i).select("run", F.col("event_id").alias("place"), "value").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    images = spark.readStream.schema("run string, place bigint, value double").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    sink = MetricSink(spark, f"{base}/out", "run")
+    flush_metrics(spark, images, _EVERY, sink, f"{base}/state").awaitTermination()
+    return flush_table(sink).withColumn("total", F.round("total", 4))

@@ -15,8 +15,11 @@ from quireflow.functions.text import crop_source
 from quireflow.operators import images
 from quireflow.sources.debug_sink import write_debug
 from quireflow.sources.gazetteer import service_gazetteer
+from quireflow.sources.image_source import image_folder
 from quireflow.sources.images import first_images, list_images, nth_file, read_images
+from quireflow.sources.metric_sink import MetricSink
 from quireflow.sources.page_sink import reset_metrics, write_files
+from quireflow.sources.page_xml import read_pages
 from quireflow.sources.runs import index_names, index_table, read_events, read_recognition, recognition_of
 
 NS = {"p": "http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"}
@@ -51,9 +54,16 @@ def settings(folder, monkeypatch):
     return Settings(image_path=str(folder / "images"), output_path=str(folder / "out"), truth_path=str(folder / "truth"), backend="known", rule_labels=("GatheringDate", "Sex", "Type"), least_area_share=0.0, evaluation=True, debug=True, max_images=0)
 
 
-def test_whole_run(spark, folder, settings):
+def test_whole_run(spark, folder, settings, caplog):
     gazetteer = spark.createDataFrame([("Lima", 0, 9), ("Lima", 1, 4)], "name string, rank int, geoname_id bigint")
-    assert run(spark, settings, gazetteer, "r1") == "r1"
+    (folder / "images/sub").mkdir()
+    (folder / "images/sub/a.png").write_bytes((folder / "images/b.PNG").read_bytes())
+    (folder / "images/bad.png").write_bytes(b"no picture")
+    done = run(spark, settings, gazetteer, "r1")
+    assert done["run_id"] == "r1" and done["counts"]["listing"] == {"rows": 3, "failed": 0} and done["counts"]["decoded"] == {"rows": 2, "failed": 0}
+    assert done["counts"]["without_truth"]["rows"] == 1 and done["counts"]["text"] == {"unequal": 0}
+    assert [r.message for r in caplog.records if r.levelname == "ERROR"] == ["image bad.png failed in reading: cannot be read as an image"]
+    assert [r.message for r in caplog.records if r.levelname == "WARNING" and r.name.startswith("quireflow")] == ["no ground truth for image b.PNG"]
     assert {n for n in os.listdir(folder / "out") if n.endswith(".xml")} == {"a.xml", "b.xml"}
     text = (folder / "out/a.xml").read_text()
     assert text.startswith('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<PcGts')
@@ -63,7 +73,7 @@ def test_whole_run(spark, folder, settings):
     assert [r.find("p:TextEquiv/p:Unicode", NS).text for r in regions] == ["Holotypus", "Lima ♀\n8.II.1911"]  # the larger one first
     assert regions[1].find("p:TextLine", NS).get("custom") == "readingOrder {index:1;} Sex {offset:5; length:1;} GatheringDate {offset:7; length:9;}"
     assert regions[0].find("p:Coords", NS).get("points") == "35,20 55,20 55,35 35,35"
-    metric = lambda name: spark.read.parquet(f"{folder}/out/metrics/{name}").where("run_id = 'r1'").collect()
+    metric = lambda name: MetricSink(spark, f"{folder}/out/metrics", "r1").rows(name).collect()
     assert [(r.image_name, round(r.avg_iou, 6)) for r in metric("layout")] == [("a.png", 1.0)]
     # readings 'Holotypus' and 'Lima ♀ / 8.II.1911' serve the second and first true text
     assert sorted((r.image_name, r.bb_index, r.cer) for r in metric("text")) == [("a.png", 0, 10 / 6), ("a.png", 1, 2 / 8)]
@@ -81,18 +91,67 @@ def test_whole_run(spark, folder, settings):
 def test_one_bad_image_does_not_stop_the_others(spark, folder, settings, monkeypatch):
     from quireflow.flow import extract
 
-    small = spark.createDataFrame([("bad.png", 0, 60, 40, 3, b"short")], "image_name string, image_index int, width int, height int, n_channels int, data binary")
-    names = first_images(list_images(spark, settings.image_path), 0).select("image_name", "image_index")
-    good = read_images(spark, settings.image_path).join(names, "image_name").select(*small.columns)
+    small = spark.createDataFrame([("bad.png", 60, 40, 3, b"short")], "image_name string, width int, height int, n_channels int, data binary")
+    good = read_images(spark, settings.image_path)
     found = extract(good.unionByName(small), spark.createDataFrame([], "name string, rank int, geoname_id bigint"), settings)
     assert [(r.image_name, r.stage) for r in found.errors.collect()] == [("bad.png", "preprocessing")]
     assert {r.image_name for r in found.pages.collect()} == {"a.png", "b.PNG"}
 
 
-def test_served(spark, folder, settings):
+def test_served(spark, folder, settings, monkeypatch):
+    from quireflow import flow
+
     gazetteer = spark.createDataFrame([], "name string, rank int, geoname_id bigint")
+    seen, real = [], flow.extract
+    monkeypatch.setattr(flow, "extract", lambda new, *a: (seen.append(sorted(r.image_name for r in new.select("image_name").collect())), real(new, *a))[1])
+    pages = lambda: {n for n in os.listdir(folder / "out") if n.endswith(".xml")}
     serve(spark, settings, gazetteer, f"{folder}/state", once=True).awaitTermination()
-    assert {n for n in os.listdir(folder / "out") if n.endswith(".xml")} == {"a.xml", "b.xml"}
+    assert pages() == {"a.xml", "b.xml"}
+    (folder / "images/c.png").write_bytes((folder / "images/a.png").read_bytes())
+    (folder / "images/bad.png").write_bytes(b"no picture")
+    serve(spark, settings, gazetteer, f"{folder}/state", once=True).awaitTermination()
+    assert pages() == {"a.xml", "b.xml", "c.xml"} and seen == [["a.png", "b.PNG"], ["c.png"]]  # a batch's own files alone
+
+
+def test_a_limit_opens_so_many_files(spark, folder, settings, monkeypatch):
+    from quireflow import flow
+
+    for i in range(5):
+        (folder / f"images/z{i}.png").write_bytes((folder / "images/a.png").read_bytes())
+    opened, real = [], flow.read_images
+    monkeypatch.setattr(flow, "read_images", lambda *a: (opened.append(real(*a).inputFiles()), real(*a))[1])
+    done = run(spark, flow.Settings(**(settings.__dict__ | {"max_images": 2, "debug": False, "evaluation": False})), spark.createDataFrame([], "name string, rank int, geoname_id bigint"), "r2")
+    assert [sorted(os.path.basename(f) for f in some) for some in opened] == [["a.png", "b.PNG"]]
+    assert done["counts"]["decoded"]["rows"] == 2
+    # the limit counts every file, the number is that among all
+    names = [(r.image_name, r.image_index) for r in image_folder(spark, settings.image_path, 4).collect()]
+    assert names == [("a.png", 0), ("b.PNG", 1), ("z0.png", 3)]
+    assert [r.image_name for r in image_folder(spark, f"file://{folder}/images").collect()] == ["a.png", "b.PNG", "z0.png", "z1.png", "z2.png", "z3.png", "z4.png"]
+    assert image_folder(spark, str(folder / "truth")).collect() == []
+
+
+def test_an_untagged_first_region_is_the_one_that_counts(spark):
+    from quireflow.flow import evaluate, Extraction
+
+    page = """<?xml version="1.0"?><PcGts xmlns="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"><Page imageFilename="{0}" imageWidth="60" imageHeight="40">
+<TextRegion id="r0"><Coords points="5,5 24,5 24,14"/><TextLine id="l"><TextEquiv><Unicode>plain ♂</Unicode></TextEquiv></TextLine></TextRegion>{1}</Page></PcGts>"""
+    more = """<TextRegion id="r1"><Coords points="5,5 24,5 24,14"/><TextLine id="l" custom="Sex {offset:0; length:1;}"><TextEquiv><Unicode>♀</Unicode></TextEquiv></TextLine></TextRegion>"""
+    import tempfile
+
+    with tempfile.TemporaryDirectory() as folder:
+        for name, text in (("a", more), ("b", "")):
+            with open(f"{folder}/{name}.xml", "w", encoding="utf-8") as f:
+                f.write(page.format(f"{name}.png", text))
+        images = spark.createDataFrame([("a.png", 60, 40), ("b.png", 60, 40)], "image_name string, width int, height int")
+        readings = spark.createDataFrame([("a.png", 0, None), ("a.png", 1, "♀"), ("b.png", 0, "plain ♂")], "image_name string, region_idx int, text string")
+        segmented = spark.createDataFrame([("a.png", 60, 40, []), ("b.png", 60, 40, [])], "image_name string, width int, height int, masks array<struct<mask_idx:int,pixels:binary>>")
+        found = Extraction(images, images, segmented, readings, None, None, None, None)
+        got = evaluate(found, read_pages(spark, folder), spark.createDataFrame([], "name string, rank int, geoname_id bigint"), Settings())
+        # neither first region has a tag: what is found there, or in the second one, is false
+        assert sorted((r.image_name, r.region_idx, r.tp, r.fp, r.fn) for r in got["tags"].collect()) == [("a.png", 0, 0, 1, 0), ("a.png", 1, 0, 1, 0), ("b.png", 0, 0, 1, 0)]
+        assert sorted((r.image_name, r.valid, r.tp, r.fp) for r in got["links"].collect()) == [("a.png", False, 0, 0), ("b.png", False, 0, 0)]
+        # a reading that is null has read nothing
+        assert sorted((r.image_name, r.bb_index, r.cer) for r in got["text"].collect()) == [("a.png", 0, 1.0), ("a.png", 1, 0.0), ("b.png", 0, 0.0)]
 
 
 def test_listing(spark, folder):
