@@ -200,7 +200,8 @@ def prepared_truth(lines: DataFrame, labels: tuple[str, ...]) -> tuple[DataFrame
     value = lambda name: attribute_value(F.col("a.body"), name)
     start = F.col("line_start") + value("offset").cast("int")
     ranges = marked.select(*key, F.col("a.tag").alias("label"), start.alias("start"), (start + value("length").cast("int")).alias("end"), value("Geonames").cast("bigint").alias("geoname_id")).na.drop(subset=["start", "end"])
-    wide = expand_to_tokens(ranges.select(*key, "start", "end").distinct(), tokens_of(joined, key), key)
-    spans = ranges.join(wide, [*key, "start", "end"]).join(joined, key)
-    text = F.substring(F.col("text"), F.col("span_start") + 1, F.col("span_end") - F.col("span_start"))
-    return joined, spans.select(*key, "label", F.col("span_start").alias("start"), F.col("span_end").alias("end"), text.alias("text"), "geoname_id")
+    wide = expand_to_tokens(ranges, tokens_of(joined, key), key).join(joined, key)
+    length = F.col("span_end") - F.col("span_start")
+    # a span is mostly one token, which is at hand; only others are cut from the text, which is read from its beginning for that
+    text = F.when(F.length("first") == length, F.col("first")).otherwise(F.substring(F.col("text"), F.col("span_start") + 1, length))
+    return joined, wide.select(*key, "label", F.col("span_start").alias("start"), F.col("span_end").alias("end"), text.alias("text"), "geoname_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The tokenizer: web addresses, words with inner points, quotes, slashes and hyphens, and single other characters.
@@ -45,11 +45,11 @@ def _before(parts: Column, n: Column) -> Column:
 
 
 def tokens_of(texts: DataFrame, key: list[str], text_col: str = "text") -> DataFrame:
-    """(key, tok_start, tok_end, token) of every token."""
-    parts = texts.select(*key, text_parts(F.col(text_col)).alias("parts"))
-    ends = F.aggregate("parts", F.array(F.lit(0)), lambda s, p: F.concat(s, F.array(F.element_at(s, -1) + F.length(p))))
-    placed = parts.select(*key, F.posexplode(F.arrays_zip(F.col("parts").alias("t"), ends.alias("e"))).alias("i", "p"))
-    return placed.where(F.col("p.t").isNotNull() & ~_is_gap(F.col("p.t"))).select(*key, F.col("p.e").alias("tok_start"), (F.col("p.e") + F.length("p.t")).alias("tok_end"), F.col("p.t").alias("token"))
+    """(key, tok_start, tok_end, token) of every token of texts with keys of their own; linear in a text's tokens."""
+    parts = texts.select(*key, F.posexplode(text_parts(F.col(text_col))).alias("i", "t"))
+    before = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.select(*key, "t", F.coalesce(F.sum(F.length("t")).over(before), F.lit(0)).cast("int").alias("tok_start"))
+    return placed.where(~_is_gap(F.col("t"))).select(*key, "tok_start", (F.col("tok_start") + F.length("t")).alias("tok_end"), F.col("t").alias("token"))
 
 
 def with_tags(texts: DataFrame, text_col: str = "text", labels: tuple[str, ...] | None = None, table: Rules | None = None) -> DataFrame:
@@ -84,6 +84,21 @@ def with_tags(texts: DataFrame, text_col: str = "text", labels: tuple[str, ...]
 
 
 def expand_to_tokens(spans: DataFrame, tokens: DataFrame, key: list[str]) -> DataFrame:
-    """Character ranges (key, start, end) widened to the tokens (key, tok_start, tok_end) that they touch."""
-    met = spans.join(tokens, key).where((F.col("tok_end") > F.col("start")) & (F.col("tok_start") < F.col("end")))
-    return met.groupBy(*key, "start", "end").agg(F.min("tok_start").alias("span_start"), F.max("tok_end").alias("span_end"))
+    """Character ranges (key, start, end, ...) widened to the tokens (key, tok_start, tok_end, and token if wanted) that they touch.
+
+    Adds span_start, span_end and first, the first token that is touched; a range that touches none goes. Tokens do not
+    overlap, so a range begins with the first token that ends behind its start and ends with the last that begins before its end. Both are
+    found by sorting ranges and tokens of a key together, once in each direction: what is read grows with ranges plus tokens, not with their product.
+    """
+    token = F.col("token") if "token" in tokens.columns else F.lit(None).cast("string")
+    payload = F.struct(*[c for c in spans.columns if c not in key])
+    ranges = spans.select(*key, F.lit(0).alias("_t"), F.col("start").alias("_a"), F.col("end").alias("_b"), F.lit(None).cast("string").alias("_token"), payload.alias("_r"))
+    both = ranges.unionByName(tokens.select(*key, F.lit(1).alias("_t"), F.col("tok_start").alias("_a"), F.col("tok_end").alias("_b"), token.alias("_token"), F.lit(None).cast(ranges.schema["_r"].dataType).alias("_r")))
+    is_token = F.col("_t") == 1
+    # where both stand at one place a range comes first: a token that ends where it starts, or starts where it ends, is not touched
+    back = Window.partitionBy(*key).orderBy(F.when(is_token, F.col("_b")).otherwise(F.col("_a")).desc(), "_t").rowsBetween(Window.unboundedPreceding, 0)
+    on = Window.partitionBy(*key).orderBy(F.when(is_token, F.col("_a")).otherwise(F.col("_b")), "_t").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.min(F.when(is_token, F.struct("_a", "_token"))).over(back)
+    last = F.max(F.when(is_token, F.col("_b"))).over(on)
+    found = both.select(*key, "_t", "_b", "_r", first.alias("_first"), last.alias("_last")).where(~is_token & (F.col("_first._a") < F.col("_b")))
+    return found.select(*key, "_r.*", F.col("_first._a").alias("span_start"), F.col("_last").alias("span_end"), F.col("_first._token").alias("first"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Callable
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import geometry as g
 from quireflow.functions import text as t
-from quireflow.operators import evaluation, layout, linking, metrics, raster, tagging
+from quireflow.operators import alignment, evaluation, layout, linking, metrics, raster, tagging
 from quireflow.sources.images import first_images
 from quireflow.sources.metric_sink import MetricSink
 from quireflow.sources.page_sink import NAMESPACE, custom_string, page_xml, recognition_json, region_rows
@@ -277,6 +278,38 @@ def cer_assignment_three(spark, sf_dir):
     return evaluation.assigned_errors(gt.unionByName(pred), "k").withColumn("cer", F.round("cer", 9))
 
 
+_FIVE = list(itertools.permutations(range(5)))
+_FIVE_SUMS = [" + ".join(f"d{r}{c}" for c, r in enumerate(o)) for o in _FIVE]
+
+
+@query(f"""WITH s AS (SELECT p_partkey // 5 AS k, (p_partkey % 5)::INT AS i, p_name || p_size AS g, reverse(p_name) || p_type AS p FROM part),
+t AS (SELECT k, {", ".join(f"max(CASE WHEN i = {i} THEN {x} END) AS {x}{i}" for i in range(5) for x in "gp")} FROM s GROUP BY k HAVING count(*) = 5),
+d AS (SELECT *, {", ".join(f"levenshtein(p{r}, g{c}) AS d{r}{c}" for r in range(5) for c in range(5))} FROM t), m AS (SELECT *, least({", ".join(_FIVE_SUMS)}) AS m FROM d),
+o AS (SELECT *, CASE {" ".join(f"WHEN {x} = m THEN [{', '.join(f'd{r}{c}' for c, r in enumerate(o))}]" for x, o in zip(_FIVE_SUMS, _FIVE, strict=True))} END AS e FROM m)
+SELECT k, i::INT AS bb_index, round(e[i + 1] / length([g0, g1, g2, g3, g4][i + 1]), 9) AS cer FROM o, range(5) r(i)""")
+def cer_assignment_five(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 5).alias("k"), (F.col("p_partkey") % 5).cast("int").alias("idx"), "p_name", "p_type", "p_size")
+    part = part.join(part.groupBy("k").count().where("count = 5").select("k"), "k")
+    gt = part.select("k", "idx", F.lit("gt").alias("side"), F.concat("p_name", F.col("p_size").cast("string")).alias("text"))
+    pred = part.select("k", "idx", F.lit("pred").alias("side"), F.concat(F.reverse("p_name"), "p_type").alias("text"))
+    return evaluation.assigned_errors(gt.unionByName(pred), "k").withColumn("cer", F.round("cer", 9))
+
+
+@query("""WITH r AS (SELECT p_partkey AS k, p_name || ' ' || p_type || p_size AS a, replace(p_name, 'o', '0') || p_type || CASE WHEN p_partkey % 4 = 0 THEN ' ' || reverse(p_name) ELSE '' END AS b FROM part)
+SELECT k, levenshtein(a, b)::INT AS edits, length(a)::INT AS chars_a, length(b)::INT AS chars_b, TRUE AS leads_from_a, TRUE AS leads_to_b FROM r""")
+def reading_alignment(spark, sf_dir):
+    """Two runs' readings aligned: the script is as short as the distance, and spells both texts."""
+    n = F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    one = part.select(n.alias("k"), F.concat("p_name", F.lit(" "), "p_type", F.col("p_size").cast("string")).alias("text"))
+    two = part.select(n.alias("k"), F.concat(F.replace("p_name", F.lit("o"), F.lit("0")), "p_type", F.when(n % 4 == 0, F.concat(F.lit(" "), F.reverse("p_name"))).otherwise("")).alias("text"))
+    both = alignment.aligned_readings(one, two, ["k"])
+    spelt = lambda side: F.array_join(F.transform("script", lambda r: r[side]), "")
+    told = both.select("k", "script", *[(spelt(x) == F.col(f"text_{x}")).alias(n) for x, n in (("a", "leads_from_a"), ("b", "leads_to_b"))])
+    sizes = alignment.script_sizes(told, ["k", "leads_from_a", "leads_to_b"])
+    return sizes.select("k", "edits", (F.col("kept") + F.col("changed") + F.col("dropped")).alias("chars_a"), (F.col("kept") + F.col("changed") + F.col("added")).alias("chars_b"), "leads_from_a", "leads_to_b")
+
+
 @query(r"""SELECT doc_id, replace(t, chr(13) || chr(10), chr(10)) AS unix, regexp_replace(replace(u, chr(10) || chr(10), chr(10)), '^\s+|\s+$', '', 'g') AS cleaned
 FROM (SELECT doc_id, replace(text, chr(10), chr(13) || chr(10)) AS t, chr(10) || replace(text, '. ', '.' || chr(10) || chr(10)) || '  ' AS u FROM documents)""")
 def newline_normalise(spark, sf_dir):
@@ -403,6 +436,21 @@ def tag_first_region(spark, sf_dir):
     return evaluation.region_tag_scores(s, found)
 
 
+@query(f"""WITH {REGIONS_SQL}, s AS (SELECT image_name, region_idx, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS tag FROM regions),
+l AS (SELECT *, region_idx = 0 AS first, 'abcd' AS text FROM s), g AS (SELECT image_name, tag FROM l WHERE first),
+c AS (SELECT l.image_name, l.region_idx, (g.tag IS NOT NULL AND l.region_idx % 2 = 0 AND g.tag = 'A')::INT::BIGINT AS tp, (g.tag IS NOT NULL)::INT::BIGINT AS n_true, (l.region_idx % 2 = 0)::INT::BIGINT AS n_found FROM l JOIN g USING (image_name)),
+n AS (SELECT image_name, region_idx, tp, n_found - tp AS fp, n_true - tp AS fn FROM c), q AS (SELECT *, {_SCORES} FROM n) SELECT image_name, region_idx, tp, fp, fn, {_F1} FROM q""")
+def tag_untagged_first(spark, sf_dir):
+    """Prepared page truth whose first regions are partly without a tag: what is found is held against those all the same."""
+    r = regions(spark, sf_dir)
+    tag = F.when(F.col("l_returnflag") != "R", F.concat("l_returnflag", F.lit(" {offset:0; length:4;}"))).otherwise("")
+    lines = r.select("image_name", "region_idx", F.lit(0).alias("line_idx"), F.lit("abcd").alias("text"), t.custom_attributes(F.concat(F.lit("readingOrder {index:0;} "), tag)).alias("attrs"))
+    texts, spans = evaluation.prepared_truth(lines, ("A", "N"))
+    tagged = F.col("region_idx") % 2 == 0
+    found = r.select("image_name", "region_idx", F.when(tagged, 0).alias("start"), F.when(tagged, 4).alias("end"), F.when(tagged, "A").alias("label"))
+    return evaluation.region_tag_scores(spans, found, texts)
+
+
 # ---------------------------------------------------------------- links
 
 _NAMED = "SELECT c_custkey AS image_name, CASE WHEN c_custkey % 3 = 0 THEN 'Geo_Town' WHEN c_custkey % 3 = 1 THEN 'Geo_Country' ELSE 'Sex' END AS label, 'NATION_' || (c_nationkey + c_custkey % 4) AS text, c_nationkey FROM customer"
@@ -433,6 +481,23 @@ def link_fuzzy(spark, sf_dir):
     return linking.link_spans(_places(spark, sf_dir), gaz, distance=1).select("image_name", "text", F.array_join("geoname_ids", ";").alias("ids"))
 
 
+_SPELT = "WITH p AS (SELECT p_partkey AS image_name, p_name || ' ' || p_type AS name FROM part), s AS (SELECT image_name, name, left(name, (image_name % 7 + 1)::INT) || substr(name, (image_name % 7 + 3)::INT) || CASE WHEN image_name % 3 = 0 THEN 'x' ELSE '' END AS text FROM p)"
+
+
+@query(f"""{_SPELT}, k AS (SELECT name, min(image_name) AS id FROM p GROUP BY name), q AS (SELECT DISTINCT text FROM s),
+n AS (SELECT text, id, levenshtein(text, name) AS d FROM q JOIN k ON levenshtein(text, name) <= floor(greatest(length(text), length(name)) * 0.2 + 1e-9)),
+i AS (SELECT text, string_agg(id::VARCHAR, ';' ORDER BY d, id) AS ids FROM n GROUP BY text) SELECT image_name, text, ids FROM s JOIN i USING (text)""")
+def link_similar(spark, sf_dir):
+    """Misspelt names and all known names that are at least 0.8 alike, nearest first."""
+    k = F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").select(k.alias("image_name"), F.concat("p_name", F.lit(" "), "p_type").alias("name"))
+    n = (F.col("image_name") % 7).cast("int")
+    spelt = F.concat(F.left("name", n + 1), F.substring(F.col("name"), n + 3, F.length("name")), F.when(F.col("image_name") % 3 == 0, "x").otherwise(""))
+    spans = parts.select("image_name", spelt.alias("text"), F.lit("Geo_Town").alias("label"))
+    known = parts.groupBy("name").agg(F.min("image_name").cast("bigint").alias("geoname_id")).withColumn("rank", F.lit(0))
+    return linking.link_alike(spans, known).select("image_name", "text", F.array_join("geoname_ids", ";").alias("ids"))
+
+
 @query(f"""WITH s AS ({_NAMED}), v AS (SELECT image_name // 5 AS image_name, label, text, c_nationkey FROM s), g AS (SELECT image_name, text, CASE WHEN c_nationkey % 6 = 0 THEN NULL ELSE c_nationkey END AS id FROM v WHERE label <> 'Sex'),
 p AS (SELECT image_name, text, n_nationkey AS nid FROM v JOIN nation ON text = n_name WHERE label <> 'Sex'),
 m AS (SELECT g.image_name, count_if(id = nid OR id = nid + 1000)::BIGINT AS tp, count_if(NOT (id = nid OR id = nid + 1000))::BIGINT AS fp FROM g JOIN p ON g.image_name = p.image_name AND g.text = p.text WHERE id IS NOT NULL GROUP BY ALL),

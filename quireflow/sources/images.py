@@ -61,6 +61,11 @@ def decoded(images: DataFrame) -> DataFrame:
     return images.select(F.element_at(F.split("image.origin", "/"), -1).alias("image_name"), "image.width", "image.height", F.col("image.nChannels").alias("n_channels"), "image.data")
 
 
+def image_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One image of a folder by its name; no row if it is not there."""
+    return read_images(spark, [f"{folder.rstrip('/')}/{name}"])
+
+
 def unread(names: DataFrame, images: DataFrame) -> DataFrame:
     """(image_name, error) of listed images that gave no pixels."""
     return names.select("image_name").join(images.select("image_name"), "image_name", "left_anti").withColumn("error", F.lit("cannot be read as an image"))
