@@ -15,10 +15,11 @@ whole; no order depends on ties, as positions are unique; other columns are left
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,84 @@ SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,capt
 _PNG = b"\x89PNG\r\n\x1a\n"  # fixed value of the format
 
 
-class SequenceParser(HTMLParser):
+_OPEN, _ATTRIBUTE = re.compile(r"[a-zA-Z][^\s/>]*"), re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_TAG_END = re.compile(r"""=\s*["']|>""")
+_RAW = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in ("script", "style")}
+
+
+class Scanner:
+    """Reads markup once, from left to right, and tells tags and text; its time grows with the markup's length alone.
+
+    A tag ends at the first `>` outside a quoted value. What looks like a tag and never ends is text, as is a lone `<`; a comment, script
+    or style that never ends reaches to the end.
+    """
+
+    def feed(self, html: str) -> None:
+        self._s, self._closed = html, {'"': len(html), "'": len(html)}
+        at = look = 0  # where the text not yet told begins, and where the next `<` is looked for
+        last = html.rfind(">")
+        while (j := html.find("<", look)) >= 0:
+            after = html[j + 1 : j + 2]
+            name = _OPEN.match(html, j + 1) if after.isascii() and after.isalpha() else None
+            if html.startswith("<!--", j):
+                self._tell(at, j)
+                if (end := html.find("-->", j + 4)) < 0:
+                    return
+                at = look = end + 3
+            elif name is None and after not in ("!", "?", "/"):
+                look = j + 1
+            elif j > last:
+                break
+            elif name is None:
+                self._tell(at, j)
+                end = html.find(">", j)
+                if after == "/" and (closing := _OPEN.match(html, j + 2)):
+                    self.handle_endtag(closing.group().lower())
+                at = look = end + 1
+            else:
+                self._tell(at, j)
+                tag, end = name.group().lower(), self._end(name.end(), j)
+                self.handle_starttag(tag, html[name.end() : end])
+                at = look = end + 1
+                if tag in _RAW:
+                    if (raw := _RAW[tag].search(html, at)) is None:
+                        return
+                    at = look = raw.start()
+        self._tell(at, len(html))
+
+    def _end(self, pos: int, tag: int) -> int:
+        """The place of the `>` that ends a tag whose name ends at pos. That there is one has been seen."""
+        s = self._s
+        while (m := _TAG_END.search(s, pos)) and m.group() != ">":
+            quote, pos = m.group()[-1], m.end()
+            # once a quote is not closed, none of its kind behind it is, and quotes of that kind are looked for no more
+            close = s.find(quote, pos) if pos < self._closed[quote] else -1
+            if close < 0:
+                self._closed[quote] = min(self._closed[quote], pos)
+            else:
+                pos = close + 1
+        if m:
+            return m.start()
+        self._closed = {'"': 0, "'": 0}  # every `>` from here on stands in quotes: they count no more
+        return s.find(">", tag)
+
+    def _tell(self, start: int, end: int) -> None:
+        if end > start:
+            self.handle_data(unescape(self._s[start:end]))
+
+
+def attributes(told: str) -> dict[str, str]:
+    """A tag's attributes by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(told):
+        out.setdefault(name.lower(), unescape(values[0] or values[1] or values[2]))
+    return out
+
+
+class SequenceParser(Scanner):
     """Text segments and media references of one page, in order."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.items: list[list] = []
         self._text: list[str] = []
         self._hidden, self._head = 0, False
@@ -65,7 +139,7 @@ class SequenceParser(HTMLParser):
             self._text.append(caption)
             self._flush()
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def handle_starttag(self, tag: str, told: str) -> None:
         self._head = tag == "head" or (self._head and tag in HEAD)
         if tag in HIDDEN:
             self._hidden += 1
@@ -77,7 +151,7 @@ class SequenceParser(HTMLParser):
             self._caption = []
         elif tag in ("img", "video", "audio", "source"):
             self._flush()
-            at = dict(attrs)
+            at = attributes(told)
             source = at.get("src") or ""
             digest = source[len(SCHEME) :] if source.startswith(SCHEME) else None
             self.items.append(["media", None, digest, at.get("alt")])
@@ -109,7 +183,6 @@ class SequenceParser(HTMLParser):
     def sequence(self, html: str | None) -> list[dict]:
         if html:
             self.feed(html)
-            self.close()
             self._flush()
             if self._caption:
                 self._text, self._caption = self._caption, None
@@ -240,12 +313,26 @@ def page_html(text: Column, key: Column) -> Column:
     return F.concat(F.lit("<html><head><title>document</title></head><body>"), F.array_join(F.transform(F.split(safe(text), "\n"), part), ""), F.lit("</body></html>"))
 
 
+def resolved_pages(pages: DataFrame, store: DataFrame) -> DataFrame:
+    """Pages (row, sequence, others) with found, an array of the store's rows for their media references in order, null for a digest that the
+    store lacks.
+
+    Each reference meets the store by its digest, and a page's references come together by its row's number.
+    """
+    others = [c for c in pages.columns if c not in ("row", "sequence")]
+    columns = F.struct(*[c for c in store.columns if c != "digest"], F.lit(True).alias("_there"))
+    refs = pages.select("row", F.explode(F.filter("sequence", lambda s: s["kind"] == "media")).alias("s")).select("row", "s.position", "s.digest")
+    met = refs.join(store.select("digest", columns.alias("stored")), "digest", "left")
+    found = met.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("position", F.when(F.col("stored._there"), F.col("stored")).alias("stored")))).alias("found"))
+    return pages.select("row", "sequence", *others).join(found, "row", "left")
+
+
 def op6_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as pages of paragraphs and figures; each figure's payload is resolved by digest.
+    """All documents as pages of paragraphs and figures; every figure's payload is resolved by digest.
 
     n_texts, n_media: items of the sequence; positions, captions: of its references; items_sha256: of the whole
-    ordered sequence (kind, text or digest, and caption of each item). A document's figures share its payload, so the
-    first reference's payload is the row's.
+    ordered sequence (kind, text or digest, and caption of each item); resolved_sha256: of what was read back for each
+    reference in order (its payload's digest). A document's figures share its payload, so the first one's is the row's.
     """
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -253,13 +340,25 @@ def op6_media_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = keyed.select("doc_id", page_html(F.col("text"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("html"))
     media = F.filter("sequence", lambda s: s["kind"] == "media")
     item = lambda s: F.concat_ws("\x1f", s["kind"], F.coalesce(s["text"], s["digest"], F.lit("")), F.coalesce(s["caption"], F.lit("")))
-    sequences = parse_sequences(pages, "doc_id", "html").select(
-        "doc_id", "sequence", (F.size("sequence") - F.size(media)).cast("long").alias("n_texts"), F.size(media).cast("long").alias("n_media"),
-        F.array_join(F.transform(media, lambda s: s["position"]), ",").alias("positions"), F.array_join(F.transform(media, lambda s: s["caption"]), ",").alias("captions"),
-        F.sha2(F.array_join(F.transform("sequence", item), "\x1e"), 256).alias("items_sha256"),
+    # rows get a number that stays: ids may be null or repeated; texts are told by their digest from here on
+    sequences = stored(
+        parse_sequences(pages, "doc_id", "html").select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", media.alias("sequence"), (F.size("sequence") - F.size(media)).cast("long").alias("n_texts"), F.size(media).cast("long").alias("n_media"),
+            F.array_join(F.transform(media, lambda s: s["position"]), ",").alias("positions"), F.array_join(F.transform(media, lambda s: s["caption"]), ",").alias("captions"),
+            F.sha2(F.array_join(F.transform("sequence", item), "\x1e"), 256).alias("items_sha256"),
+        ), "sequences",
+    )
+    found = resolved_pages(sequences, read_store(stored(media_rows(docs), "media")))
+    own = F.get("found", F.lit(0))["stored"]
+    back = F.sha2(F.array_join(F.transform("found", lambda x: F.coalesce(x["stored"]["payload_sha256"], F.lit("-"))), ","), 256)
+    payload = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return found.select("doc_id", *[own[c].alias(c) for c in payload], "n_texts", "n_media", "positions", "captions", "items_sha256", back.alias("resolved_sha256"))
+
+
+def page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All web pages as sequences: their texts and references in order, counted and digested."""
+    media = F.filter("sequence", lambda s: s["kind"] == "media")
+    texts = F.transform(F.filter("sequence", lambda s: s["kind"] == "text"), lambda s: s["text"])
+    return parse_sequences(table(spark, sf_dir, "pages"), "page_id", "html").select(
+        "page_id", (F.size("sequence") - F.size(media)).cast("long").alias("n_texts"), F.size(media).cast("long").alias("n_media"), F.sha2(F.array_join(texts, "\n"), 256).alias("texts_sha256"), F.length(F.array_join(texts, "")).cast("long").alias("text_chars"),
     )
-    store = stored(media_rows(docs), "media")
-    # the first reference stands first: every page begins with a figure
-    found = resolve(sequences, read_store(store)).where("position = 0")
-    columns = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_texts", "n_media", "positions", "captions", "items_sha256")
-    return found.select("doc_id", *columns)

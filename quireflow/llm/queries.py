@@ -10,7 +10,7 @@ from .chat import op8_chat_windows, windows_sql
 from .language import op5_language_crf
 from .licenses import op1_license_scan
 from .line_dedup import op4_line_dedup
-from .media import op6_media_sequences
+from .media import op6_media_sequences, page_sequences
 from .packing import op2_curve_packing
 from .pieces import op7_piece_viterbi
 from .pipeline import run as pipeline
@@ -35,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_tree_bpe": op11_tree_bpe,
     "op12_jacobi_whitening": op12_jacobi_whitening,
     "op13_ball_codes": op13_ball_codes,
+    "page_sequences": page_sequences,
     "pipeline": pipeline,
 }
 

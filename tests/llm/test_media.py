@@ -72,6 +72,46 @@ def test_markup_that_is_not_tidy(page, want):
     assert kinds(page) == want
 
 
+@pytest.mark.parametrize("part", ["a<", "<", "a<b ", "<b x=\"", "<b x='\"", "</", "<!-", "<b x=\">", "&", "<!--", "<script>", "< b>", "<b =' '", "<p", "<figure>", "<figcaption>"])
+def test_time_grows_with_length(part):
+    import time
+
+    for tail in ("", ">", "\">"):
+        began = time.time()
+        SequenceParser().sequence("<p>" + part * 200_000 + tail)
+        assert time.time() - began < 8, (part, tail)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("a < b <c", [("text", "a < b <c", None)]),
+        ("1 <2> 3", [("text", "1 <2> 3", None)]),
+        ("<p title='a > b'>x</p>", [("text", "x", None)]),
+        ('<p title="open>x</p>', [("text", "x", None)]),
+        ("<IMG SRC = sha256:aa ALT='q \" q'>", [("media", "aa", 'q " q')]),
+        ("a<!-- <p>b -->c<!-- d", [("text", "ac", None)]),
+        ("a<style>b</p></STYLE >c", [("text", "ac", None)]),
+        ("a<script>never <p>closed", [("text", "a", None)]),
+        ("a<!doctype x>b<?php y?>c</ z>d", [("text", "abcd", None)]),
+        ("&lt;p&gt; &amp;amp;", [("text", "<p> &amp;", None)]),
+    ],
+)
+def test_scanning(page, want):
+    assert kinds(page) == want
+
+
+def test_the_pages_query(spark):
+    from quireflow.llm.media import page_sequences
+
+    got = {r.page_id: r for r in page_sequences(spark, "/root/testdata/sf0.001").collect()}
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()
+    assert got.keys() == {r["page_id"] for r in pages}
+    for r in pages:
+        texts = [x[1] for x in kinds(r["html"]) if x[0] == "text"]
+        assert (got[r["page_id"]].n_texts, got[r["page_id"]].texts_sha256) == (len(texts), hashlib.sha256("\n".join(texts).encode()).hexdigest())
+
+
 def test_pages_of_the_table_keep_their_words():
     for r in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist():
         shown = re.sub(r"(?is)<(script|style|title|template|noscript)\b.*?</\1\s*>", " ", r["html"] or "")
@@ -102,6 +142,7 @@ def held_against_brute_force(rows, texts):
         media = [(str(k), x[2]) for k, x in enumerate(items) if x[0] == "media"]
         assert (r.n_texts, r.n_media) == (len(items) - len(media), len(media))
         assert (r.positions, r.captions) == (",".join(m[0] for m in media), ",".join(m[1] for m in media))
+        assert r.resolved_sha256 == hashlib.sha256(",".join([hashlib.sha256(payload).hexdigest()] * len(media)).encode()).hexdigest()
         assert r.items_sha256 == hashlib.sha256("\x1e".join("\x1f".join(x) for x in items).encode()).hexdigest()
 
 
