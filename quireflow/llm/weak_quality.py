@@ -21,21 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality_rules
 from .common import lowered_words, slices, stored, table
 
 BUCKETS = 1 << 14
 #: Documents the scorer is fitted on, about; the bound is twice that.
 SAMPLE_DOCS = 3000
+#: Features of a document that the scorer is fitted on, at most: with the documents' bound, what reaches the driver is bounded.
+SAMPLE_ENTRIES = 2048
 ROUNDS, RATE = 60, 0.5
 SYMBOLS = b"#*$%&|<>"
-#: Frequent function words of the languages served, lower case.
-STOP_WORDS = frozenset(
-    w.encode()
-    for w in (
-        "a al an and as at auf be by con da das de del den der des die du ein eine el en es et for from he in is ist it la las le les los mit"
-        " nicht no of on or par pas pour que qui se sich sie sur that the this to un una und une von was with y zu"
-    ).split()
-)
+STOP_WORDS = frozenset(w.encode() for w in quality_rules.STOP_WORDS)
 #: Bytes of a word's shape: letters, digits, white space, each other ASCII byte as itself.
 _SHAPE = bytes(97 if 65 <= b <= 90 or 97 <= b <= 122 or b > 127 else 48 if 48 <= b <= 57 else b for b in range(256))
 GOOD, BAD, NONE = "+", "-", "."
@@ -127,6 +123,14 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = R
     return weights
 
 
+def thinned(at: np.ndarray, value: np.ndarray, most: int = SAMPLE_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
+    """So many features of a long document, evenly from its buckets; all of them if it has no more. Scoring takes all features of all documents."""
+    if len(at) <= most:
+        return at, value
+    some = np.linspace(0, len(at) - 1, most).astype(np.int64)
+    return at[some], value[some]
+
+
 def with_votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -150,7 +154,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
-            found = [(*hashed(t), posterior[votes(t)]) for t in batch.column("t").to_pylist()]
+            found = [(*thinned(*hashed(t)), posterior[votes(t)]) for t in batch.column("t").to_pylist()]
             columns = [pa.array([f[0].tolist() for f in found], pa.list_(pa.int32())), pa.array([f[1].tolist() for f in found], pa.list_(pa.float32())), pa.array([f[2] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["at", "value", "y"])
 

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+from quireflow.llm import weak_quality
 from quireflow.llm.weak_quality import BUCKETS, classify, fit_labellers, fit_scorer, hashed, op9_weak_quality, votes
 
 
@@ -111,3 +112,10 @@ def test_other_columns_do_not_disturb(spark):
     rows = [(1, "The cat sat on the mat.", "a", "b", "c")]
     plain = classify(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).first()
     assert classify(spark.createDataFrame(rows, "doc_id long, text string, votes string, id string, t string")).first() == plain
+
+
+def test_long_documents_are_thinned_for_fitting_alone():
+    at, value = np.arange(0, 9000, 2), np.arange(4500.0)
+    some, values = weak_quality.thinned(at, value, 100)
+    assert len(some) == 100 == len(set(some.tolist())) and some[0] == 0 and some[-1] == at[-1] and (values * 2 == some).all()
+    assert weak_quality.thinned(at, value, 4500)[0] is at
