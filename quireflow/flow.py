@@ -26,6 +26,7 @@ from quireflow.sources.images import NAMES, decoded, read_images, unread, with_t
 from quireflow.sources.metric_sink import MetricSink
 from quireflow.sources.page_sink import page_xml, recognition_json, region_rows, write_pages, write_recognition
 from quireflow.sources.page_xml import page_lines, page_regions, read_pages
+from quireflow.sources.scratch import Scratch
 
 
 @dataclass
@@ -159,14 +160,26 @@ def run(spark: SparkSession, settings: Settings, gazetteer: DataFrame, run_id: s
 def serve(spark: SparkSession, settings: Settings, gazetteer: DataFrame, checkpoint: str, once: bool = False):
     """A query that waits for image files and writes the pages of each batch of new ones; once: only of those there are.
 
-    A batch holds the pixels of its own new files, decoded by the stream's source; files that were seen are not read again.
+    A batch holds the pixels of its own new files, decoded by the stream's source; files that were seen are not read again. It
+    has as many files as the summary interval at most, so that many images on, at the latest, their scores are committed (run "served", once a batch).
     """
     kind = "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
-    files = spark.readStream.format("image").schema(kind).options(dropInvalid="true", pathGlobFilter=NAMES).load(settings.image_path)
-    images = decoded(files)
+    files = spark.readStream.format("image").schema(kind).options(dropInvalid="true", pathGlobFilter=NAMES, maxFilesPerTrigger=settings.summary_interval).load(settings.image_path)
+    sink = MetricSink(spark, f"{settings.output_path.rstrip('/')}/metrics", "served")
 
     def batch(new: DataFrame, number: int) -> None:
-        write_pages(extract(new, gazetteer, settings).pages, settings.output_path)
+        held: list[Scratch] = []
 
-    stream = images.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            held.append(Scratch(df, name))
+            return held[-1].df
+
+        found = extract(keep(new, "decoded"), gazetteer, settings, keep)
+        write_pages(found.pages, settings.output_path)
+        if settings.evaluation and settings.truth_path:
+            sink.commit(number, evaluate(found, read_pages(spark, settings.truth_path), gazetteer, settings))
+        for table in held:
+            table.drop()
+
+    stream = decoded(files).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if once else stream.trigger(processingTime="10 seconds")).start()

@@ -111,6 +111,8 @@ def test_served(spark, folder, settings, monkeypatch):
     (folder / "images/bad.png").write_bytes(b"no picture")
     serve(spark, settings, gazetteer, f"{folder}/state", once=True).awaitTermination()
     assert pages() == {"a.xml", "b.xml", "c.xml"} and seen == [["a.png", "b.PNG"], ["c.png"]]  # a batch's own files alone
+    sink = MetricSink(spark, f"{folder}/out/metrics", "served")
+    assert sink.commits() == [0, 1] and [(r.image_name, round(r.avg_iou, 6)) for r in sink.rows("layout").collect()] == [("a.png", 1.0)]
 
 
 def test_a_limit_opens_so_many_files(spark, folder, settings, monkeypatch):

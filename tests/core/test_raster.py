@@ -2,8 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quireflow.functions.geometry import truncated_box
 from quireflow.operators.graph import component_labels
-from quireflow.operators.images import has_holes, pack_mask
+from quireflow.operators.images import has_holes, kept_masks, pack_mask
+from quireflow.operators.layout import filter_masks
 from quireflow.operators.raster import mask_overlaps, packed_words, polygon_runs, polygon_scores, run_words, scaled_runs, with_holes
 
 POINTS = "k int, polygon array<struct<x:int,y:int>>, width int, height int"
@@ -162,3 +164,24 @@ def test_scores_of_polygons(spark):
     truth = spark.createDataFrame([("one", 30, 20, [box]), ("two", 60, 40, [doubled, [(0, 0), (1, 0), (1, 1)]]), ("none", 30, 20, []), ("only", 30, 20, [])], "image_name string, true_width int, true_height int, polygons array<array<struct<x:int,y:int>>>")
     got = {r.image_name: (r.n_gt, r.n_pred, r.avg_iou) for r in polygon_scores(found, truth).collect()}
     assert got == {"one": (1, 2, 0.5), "two": (2, 1, 0.5), "none": (0, 0, None), "only": (0, 1, 0.0)}
+
+
+def test_both_forms_of_the_mask_filter(spark):
+    """The filter over a table of masks and the one over an image's array keep the same masks in the same order."""
+    r = np.random.default_rng(12)
+    rows = []
+    for image in range(60):
+        for i in range(int(r.integers(1, 6))):
+            w, h = (int(v) for v in r.integers(0, 40, 2))
+            rows.append((image, i, w, h, int(w * h * r.choice([0.5, 0.91, 1.0])), bool(r.random() < 0.3)))
+    flat = spark.createDataFrame(rows, "image_name int, mask_idx int, w int, h int, area long, has_holes boolean")
+    one = filter_masks(flat.withColumn("image_px", F.lit(10_000)))
+    box = F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), "w", "h")
+    arrays = flat.groupBy("image_name").agg(F.array_sort(F.collect_list(F.struct("mask_idx", box.alias("box"), "area", "has_holes"))).alias("masks"))
+    two = arrays.select("image_name", F.posexplode(kept_masks(F.col("masks"), F.lit(100), F.lit(100))).alias("region_idx", "m"))
+    assert sorted((x.image_name, x.region_idx, x.mask_idx) for x in one.collect()) == sorted((x.image_name, x.region_idx, x.m.mask_idx) for x in two.collect())
+
+
+def test_boxes_are_cut_towards_zero(spark):
+    r = spark.createDataFrame([(1.9, -1.9, 3.0, 0.5)], "x double, y double, w double, h double").select(truncated_box(F.col("x"), F.col("y"), F.col("w"), F.col("h")).alias("b")).first().b
+    assert (r.x, r.y, r.w, r.h) == (1, -1, 3, 0)
