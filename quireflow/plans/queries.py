@@ -17,7 +17,7 @@ from quireflow.sources.images import first_images
 from quireflow.sources.metric_sink import MetricSink
 from quireflow.sources.page_sink import NAMESPACE, custom_string, page_xml, recognition_json, region_rows
 from quireflow.sources.tables import REGIONS_SQL, regions, shared_folder, table
-from quireflow.streaming.flush import FLUSH, flush_metrics, flush_table
+from quireflow.streaming.flush import FLUSH, flush_counted, flush_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -634,5 +634,5 @@ def stream_flush(spark, sf_dir):
         events.where(part == i).select("run", F.col("event_id").alias("place"), "value").coalesce(1).write.mode("append").parquet(f"{base}/in")
     images = spark.readStream.schema("run string, place bigint, value double").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     sink = MetricSink(spark, f"{base}/out", "run")
-    flush_metrics(spark, images, _EVERY, sink, f"{base}/state").awaitTermination()
+    flush_counted(spark, images, _EVERY, sink, f"{base}/state").awaitTermination()
     return flush_table(sink).withColumn("total", F.round("total", 4))

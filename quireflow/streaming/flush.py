@@ -51,7 +51,7 @@ def counted_flushes(images: DataFrame, every: int) -> DataFrame:
     return images.select("run", "place", "value").groupBy("run").transformWithState(CountedFlush(every), FLUSH, "Append", "None")
 
 
-def flush_metrics(spark: SparkSession, images: DataFrame, every: int, sink: MetricSink, checkpoint: str) -> StreamingQuery:
+def flush_counted(spark: SparkSession, images: DataFrame, every: int, sink: MetricSink, checkpoint: str) -> StreamingQuery:
     """Runs a stream of images over all there are; each batch's flushes are committed once under its number.
 
     State survives restarts through the checkpoint, and a batch that is repeated after a failure finds its commit.
@@ -69,3 +69,17 @@ def flush_table(sink: MetricSink) -> DataFrame | None:
         return None
     values = F.struct("images", "total", "done")
     return rows.groupBy("run", "flush").agg(F.max_by(values, "batch").alias("v")).select("run", "flush", "v.*")
+
+
+def flush_metrics(spark: SparkSession, source: str, schema, files_per_batch: int, sink: str, checkpoint: str, key: str, value: str, names: str = "*.parquet") -> StreamingQuery:
+    """Every `files_per_batch` new files, the cumulative (key, n, total) of all files so far replaces the sink's table.
+
+    For triggers by files; flush_counted counts images, and its sink is never seen half replaced.
+    """
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", names).parquet(source)
+    totals = files.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(sink)
+
+    return totals.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

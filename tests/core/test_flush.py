@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from quireflow.sources import metric_sink
 from quireflow.sources.metric_sink import MetricSink
-from quireflow.streaming.flush import flush_metrics, flush_table
+from quireflow.streaming.flush import flush_counted, flush_table
 
 KIND = "run string, place bigint, value double"
 
@@ -33,7 +33,7 @@ def stream(spark, path):
 def test_flushes_do_not_follow_files(spark, tmp_path, every):
     want = images(spark, f"{tmp_path}/in", [5, 1, 9, 3], every)
     sink = MetricSink(spark, f"{tmp_path}/out", "r")
-    flush_metrics(spark, stream(spark, f"{tmp_path}/in"), every, sink, f"{tmp_path}/state").awaitTermination()
+    flush_counted(spark, stream(spark, f"{tmp_path}/in"), every, sink, f"{tmp_path}/state").awaitTermination()
     assert sink.commits() == [0, 1, 2, 3]
     assert {(r.run, r.flush): (r.images, r.total, r.done) for r in flush_table(sink).collect()} == want
 
@@ -51,10 +51,10 @@ def test_state_survives_a_restart_and_a_lost_commit(spark, tmp_path, monkeypatch
 
     monkeypatch.setattr(metric_sink.MetricSink, "_publish", breaks)
     with pytest.raises(Exception, match="lost before the commit"):
-        flush_metrics(spark, stream(spark, f"{tmp_path}/in"), 4, sink, f"{tmp_path}/state").awaitTermination()
+        flush_counted(spark, stream(spark, f"{tmp_path}/in"), 4, sink, f"{tmp_path}/state").awaitTermination()
     assert sink.commits() == [0]  # what batch 1 wrote is not seen
     before = flush_table(sink).count()
-    flush_metrics(spark, stream(spark, f"{tmp_path}/in"), 4, sink, f"{tmp_path}/state").awaitTermination()
+    flush_counted(spark, stream(spark, f"{tmp_path}/in"), 4, sink, f"{tmp_path}/state").awaitTermination()
     assert sink.commits() == [0, 1, 2] and before < len(want)
     assert {(r.run, r.flush): (r.images, r.total, r.done) for r in flush_table(sink).collect()} == want
 
