@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from quireflow.llm.common import stored
 from quireflow.llm.language import learn, predict
-from quireflow.llm.simhash import fingerprint
+from quireflow.llm.simhash import sketch, sketch_radius
 
 from .test_line_dedup import alike, norm
 from .test_quality_rules import brute as brute_quality
@@ -51,9 +51,9 @@ def test_stages_against_brute_force(spark):
         assert any(alike(norm(gone), norm(x)) for x in near)
 
     four = stage["near_dedup"](spark, three, "")
-    fps = {i: fingerprint(t) for i, t in want.items()}
-    order = sorted(fps)
-    root = groups(order, [(a, b) for k, a in enumerate(order) for b in order[:k] if (fps[a] ^ fps[b]).bit_count() <= 4])
+    made = {i: sketch(t) for i, t in want.items()}
+    order, apart = sorted(made), lambda a, b: int(np.bitwise_count((made[a][0] ^ made[b][0]).view(np.uint64)).sum())
+    root = groups(order, [(a, b) for k, a in enumerate(order) for b in order[:k] if apart(a, b) <= sketch_radius() and (made[a][1] == made[b][1]).any()])
     assert four.columns == COLUMNS and {r.doc_id for r in four.collect()} == set(root.values())
 
     five = defaultdict(int)

@@ -6,7 +6,8 @@ import xxhash
 
 from quireflow.llm import simhash
 from quireflow.llm.components import components
-from quireflow.llm.simhash import block_masks, fingerprint, fingerprint_links, near_duplicates, op3_simhash
+from quireflow.llm.common import lowered_words, stored
+from quireflow.llm.simhash import WORDS, block_masks, fingerprint, fingerprint_links, grouped_sketches, near_duplicates, op3_simhash, sketch, sketch_links, sketch_radius, sketches
 
 
 def groups(nodes, links):
@@ -105,3 +106,78 @@ def test_query_against_brute_force(spark):
     near = [(a, b) for i, a in enumerate(ids) for b in ids[:i] if (fps[a] ^ fps[b]).bit_count() <= 4]
     want = groups(ids, near)
     assert got == {i: (f"{fps[i]:016x}", want[i]) for i in ids}
+
+
+def shingles(text):
+    words = lowered_words(text)
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def sketch_groups(spark, texts):
+    """The group of each (id, text): its smallest id."""
+    coded = stored(sketches(spark.createDataFrame(texts, "doc_id long, text string")), "sketches")
+    first = grouped_sketches(coded, "doc_id")
+    of = {r.fp: r.first for r in first.collect()}
+    return {r.doc_id: of[r.fp] for r in coded.selectExpr("doc_id", "xxhash64(words) AS fp").collect()}
+
+
+def test_near_copies_of_real_texts_by_similarity(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect() if r.text and len(r.text.split()) > 30]
+    rng, copies = random.Random(4), []
+    for i, text in docs[:400]:
+        words, rate = text.split(" "), rng.choice([0.005, 0.01, 0.015, 0.02, 0.025])
+        copies.append((10**6 + i, " ".join(w[::-1] + "q" if rng.random() < rate else w for w in words)))
+    rows = docs + copies
+    group, sets = sketch_groups(spark, rows), {i: shingles(t) for i, t in rows}
+    found = {low: [] for low in (0.95, 0.9, 0.85, 0.8)}
+    for i, text in copies:
+        alike = jaccard(sets[i], sets[i - 10**6])
+        if alike >= 0.8 and text != dict(docs[:400])[i - 10**6]:
+            found[next(low for low in found if alike >= low)].append(group[i] == group[i - 10**6])
+    told = {low: (sum(hits), len(hits)) for low, hits in found.items()}
+    assert all(n > 20 and hits >= 0.9 * n for hits, n in told.values()), told
+    # pairs that the documents themselves hold, by shared shingles
+    at = {}
+    for i, _ in docs:
+        for x in sets[i]:
+            at.setdefault(x, []).append(i)
+    met = {(a, b) for ids in at.values() if len(ids) < 200 for k, a in enumerate(ids) for b in ids[:k]}
+    own = [group[a] == group[b] for a, b in met if 0.8 <= jaccard(sets[a], sets[b]) < 1]
+    assert len(own) > 5 and sum(own) >= 0.9 * len(own)
+    # and nothing is linked that is unlike: whoever is in a group has a partner there
+    members = {}
+    for i, g in group.items():
+        members.setdefault(g, []).append(i)
+    for ids in members.values():
+        for i in ids if len(ids) > 1 else []:
+            assert max(jaccard(sets[i], sets[j]) for j in ids if j != i) >= 0.65
+
+
+@pytest.mark.parametrize("tile", [8, 4096])
+def test_long_fingerprints_against_brute_force(spark, tile, monkeypatch):
+    monkeypatch.setattr(simhash, "SUB_TILE", 4)
+    rng = np.random.default_rng(tile)
+    words = [rng.integers(-(2**62), 2**62, WORDS)]
+    for _ in range(90):
+        flips = np.packbits(rng.random((WORDS, 64)) < rng.choice([0.02, 0.12]), axis=1).view("<i8").reshape(-1)
+        words.append(words[rng.integers(len(words))] ^ flips)
+    bands = rng.integers(0, 2, (len(words), 3))
+    rows = [(k, w.tolist(), b.tolist()) for k, (w, b) in enumerate(zip(words, bands, strict=True))]
+    got = sketch_links(spark.createDataFrame(rows, "fp long, words array<long>, bands array<long>"), sketch_radius(), tile).collect()
+    apart = lambda a, b: int(np.bitwise_count((words[a] ^ words[b]).view(np.uint64)).sum())
+    near = [(a, b) for a in range(len(words)) for b in range(a) if apart(a, b) <= sketch_radius() and (bands[a] == bands[b]).any()]
+    assert groups(range(len(words)), [(r.a, r.b) for r in got]) == groups(range(len(words)), near)
+
+
+def test_sketch_of_odd_texts():
+    for text in (None, "", " \n"):
+        words, bands = sketch(text)
+        assert not words.any() and not bands.any()
+    assert all((a == b).all() for a, b in zip(sketch("A b\tC d e f"), sketch("a B c d E F"), strict=True))
+    long = " ".join(f"w{i}" for i in range(20_000))
+    assert all((a == b).all() for a, b in zip(sketch(long + " " + long), sketch(long + " " + long), strict=True)) and sketch(long)[0].any()
+    assert 80 <= sketch_radius() <= 90 and sketch_radius(1.0) == 0
