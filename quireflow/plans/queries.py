@@ -165,9 +165,9 @@ def _outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
         column = lambda e: F.expr(re.sub(r"(\w) // (\d)", r"(\1 div \2)", e)).cast("int")
         return F.array(*[F.struct(column(x).alias("x"), column(y).alias("y")) for x, y in zip(*of, strict=True)])
 
-    boxed = regions(spark, sf_dir).select("image_name", "region_idx", "box.*", "l_linestatus", "l_returnflag")
+    boxed = regions(spark, sf_dir).select("image_name", "region_idx", "box", "box.*", "l_linestatus", "l_returnflag")
     shape = F.when(F.col("region_idx") % 2 == 0, points(_STAR)).otherwise(points(_FRAME))
-    return boxed.select("image_name", "region_idx", shape.alias("polygon"), F.lit(_PAGE[0]).alias("width"), F.lit(_PAGE[1]).alias("height"), "l_linestatus", "l_returnflag")
+    return boxed.select("image_name", "region_idx", "box", shape.alias("polygon"), F.lit(_PAGE[0]).alias("width"), F.lit(_PAGE[1]).alias("height"), "l_linestatus", "l_returnflag")
 
 
 _KEY = ["image_name", "region_idx"]
@@ -175,8 +175,9 @@ _KEY = ["image_name", "region_idx"]
 
 @query(f"WITH {REGIONS_SQL}, {_FILLED} SELECT image_name, region_idx, count(*) AS n_runs, sum(x1 - x0)::BIGINT AS area, sum((y * 131 + x0) * 17 + x1)::BIGINT AS checked FROM filled GROUP BY image_name, region_idx")
 def polygon_fill(spark, sf_dir):
-    runs = raster.polygon_runs(_outlines(spark, sf_dir), _KEY)
-    return runs.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_runs"), F.sum(F.col("x1") - F.col("x0")).alias("area"), F.sum((F.col("y") * 131 + F.col("x0")) * 17 + F.col("x1")).alias("checked"))
+    total = lambda each: F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + each(r))
+    drawn = raster.drawn_polygons(_outlines(spark, sf_dir), _KEY)
+    return drawn.select(*_KEY, F.size("runs").cast("long").alias("n_runs"), total(lambda r: r["x1"] - r["x0"]).alias("area"), total(lambda r: (r["y"] * 131 + r["x0"]) * 17 + r["x1"]).alias("checked"))
 
 
 _SHARED = """px AS (SELECT image_name, region_idx, sum(x1 - x0) AS area FROM filled GROUP BY ALL), flagged AS (SELECT image_name, region_idx, l_linestatus = 'O' AS g, l_returnflag <> 'N' AS p FROM regions),
