@@ -188,8 +188,8 @@ pairs AS (SELECT m.image_name, gt_idx, pred_idx, shared, (a.area + b.area - shar
 
 def _mask_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     outlines = _outlines(spark, sf_dir)
-    words = lambda of, name: raster.run_words(raster.polygon_runs(of, _KEY).withColumn("width", F.lit(_PAGE[0])), _KEY).withColumnRenamed("region_idx", name)
-    return raster.mask_overlaps(words(outlines.where("l_linestatus = 'O'"), "gt_idx"), words(outlines.where("l_returnflag <> 'N'"), "pred_idx"))
+    side = lambda condition, name: outlines.where(condition).withColumnRenamed("region_idx", name)
+    return raster.polygon_overlaps(side("l_linestatus = 'O'", "gt_idx"), side("l_returnflag <> 'N'", "pred_idx"))
 
 
 @query(f"WITH {REGIONS_SQL}, {_FILLED}, {_SHARED} SELECT image_name, gt_idx, pred_idx, shared, joint, round(shared / joint, 9) AS iou FROM pairs")

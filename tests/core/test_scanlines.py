@@ -25,6 +25,12 @@ def test_runs_of_polygons_are_not_shuffled(spark, query):
     assert plan.count("Exchange") == 1 and "Aggregate" not in plan, "only regions are dealt out, to be numbered"
 
 
+@pytest.mark.parametrize("query", ["mask_overlap", "mask_avg_iou"])
+def test_words_of_polygons_are_not_shuffled(spark, query):
+    plan = QUERIES[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" not in plan and "collect_list" not in plan
+
+
 def test_bands_and_chunks_change_nothing(spark, monkeypatch):
     polygons = spark.createDataFrame([(0, _shapes()[0], 20, 16)], POINTS).select("polygon", "width", "height").toArrow()
     columns = _table(spark, _shapes()).select("polygon", "width", "height").toArrow().combine_chunks()
