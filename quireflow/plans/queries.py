@@ -215,8 +215,7 @@ reached(image_name, region_idx, y, a, b) AS (SELECT * FROM free UNION SELECT g.i
 shut AS (SELECT image_name, region_idx, sum(b - a)::BIGINT AS hole_px FROM (SELECT * FROM between_ EXCEPT SELECT * FROM reached) GROUP BY ALL)
 SELECT image_name, region_idx, x, y, w, h, area, coalesce(hole_px, 0)::BIGINT AS hole_px, hole_px IS NOT NULL AS has_holes FROM size LEFT JOIN shut USING (image_name, region_idx)""")
 def mask_holes(spark, sf_dir):
-    runs = raster.polygon_runs(_outlines(spark, sf_dir), _KEY)
-    return raster.with_holes(runs, _KEY).drop("n_holes")
+    return raster.polygon_masks(_outlines(spark, sf_dir), _KEY).drop("n_holes")
 
 
 # ---------------------------------------------------------------- readings

@@ -19,7 +19,7 @@ def _table(spark, shapes):
     return spark.createDataFrame([(k, s, 20, 16) for k, s in enumerate(shapes)], POINTS)
 
 
-@pytest.mark.parametrize("query", ["polygon_fill"])
+@pytest.mark.parametrize("query", ["polygon_fill", "mask_holes"])
 def test_runs_of_polygons_are_not_shuffled(spark, query):
     plan = QUERIES[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Aggregate" not in plan, "only regions are dealt out, to be numbered"
