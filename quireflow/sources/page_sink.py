@@ -44,22 +44,24 @@ def page_xml(regions: DataFrame, creator: str = "quireflow", at: Column | None =
     those without a region have a page as well.
     """
     links = F.col("links") if "links" in regions.columns else F.array().cast("array<struct<text:string,label:string,geoname_ids:array<bigint>>>")
-    coords = box_to_coords(*[F.col(f"box.{c}") for c in "xywh"])
-    points = F.struct(coords.alias("_points"))
-    custom = custom_string(F.col("region_idx"), F.col("spans"))
-    equiv = F.struct(F.col("text").alias("Unicode"))
-    line = F.struct(custom.alias("_custom"), F.lit("line_1").alias("_id"), points.alias("Coords"), points.alias("Baseline"), equiv.alias("TextEquiv"))
-    entity = F.transform(links, lambda x, i: F.struct(F.concat(F.lit("entity_linking_"), i.cast("string")).alias("_id"), x["text"].alias("_text"), x["label"].alias("_label"), F.concat(F.lit("["), F.array_join(x["geoname_ids"], ", "), F.lit("]")).alias("_geoname_ids")))
-    region = F.struct(F.concat(F.lit("TextRegion_"), F.col("region_idx").cast("string")).alias("_id"), F.format_string("readingOrder {index:%d;}", "region_idx").alias("_custom"), points.alias("Coords"), line.alias("TextLine"), equiv.alias("TextEquiv"), entity.alias("EntityLinking"))
-    pages = regions.groupBy("image_name", "width", "height").agg(F.array_sort(F.collect_list(F.struct("region_idx", region.alias("r")))).alias("rs"))
+
+    def region(x: Column) -> Column:
+        points = F.struct(box_to_coords(*[x["box"][c] for c in "xywh"]).alias("_points"))
+        equiv = F.struct(x["text"].alias("Unicode"))
+        line = F.struct(custom_string(x["region_idx"], x["spans"]).alias("_custom"), F.lit("line_1").alias("_id"), points.alias("Coords"), points.alias("Baseline"), equiv.alias("TextEquiv"))
+        entity = F.transform(x["links"], lambda e, i: F.struct(F.concat(F.lit("entity_linking_"), i.cast("string")).alias("_id"), e["text"].alias("_text"), e["label"].alias("_label"), F.concat(F.lit("["), F.array_join(e["geoname_ids"], ", "), F.lit("]")).alias("_geoname_ids")))
+        return F.struct(F.concat(F.lit("TextRegion_"), x["region_idx"].cast("string")).alias("_id"), F.format_string("readingOrder {index:%d;}", x["region_idx"]).alias("_custom"), points.alias("Coords"), line.alias("TextLine"), equiv.alias("TextEquiv"), entity.alias("EntityLinking"))
+
+    # what is shuffled are a region's values; their elements, several times as large, are made in the page's row
+    pages = regions.groupBy("image_name", "width", "height").agg(F.array_sort(F.collect_list(F.struct("region_idx", "box", "text", "spans", links.alias("links")))).alias("rs"))
     if images is not None:
         pages = images.select("image_name", "width", "height").join(pages.select("image_name", "rs"), "image_name", "left")
-    order = F.struct(F.struct(F.lit("ro_group_1").alias("_id"), F.transform("rs", lambda x: F.struct(x["region_idx"].alias("_index"), x["r"]["_id"].alias("_regionRef"))).alias("RegionRefIndexed")).alias("OrderedGroup"))
+    order = F.struct(F.struct(F.lit("ro_group_1").alias("_id"), F.transform("rs", lambda x: F.struct(x["region_idx"].alias("_index"), F.concat(F.lit("TextRegion_"), x["region_idx"].cast("string")).alias("_regionRef"))).alias("RegionRefIndexed")).alias("OrderedGroup"))
     now = F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     root = F.struct(
         F.lit(NAMESPACE).alias("_xmlns"),
         F.struct(F.lit(creator).alias("Creator"), now.alias("Created"), now.alias("LastChange")).alias("Metadata"),
-        F.struct(F.col("image_name").cast("string").alias("_imageFilename"), F.col("width").alias("_imageWidth"), F.col("height").alias("_imageHeight"), order.alias("ReadingOrder"), F.transform("rs", lambda x: x["r"]).alias("TextRegion")).alias("Page"),
+        F.struct(F.col("image_name").cast("string").alias("_imageFilename"), F.col("width").alias("_imageWidth"), F.col("height").alias("_imageHeight"), order.alias("ReadingOrder"), F.transform("rs", region).alias("TextRegion")).alias("Page"),
     )
     return pages.select("image_name", F.to_xml(root, {"rowTag": "PcGts"}).alias("xml"))
 

@@ -65,3 +65,11 @@ def test_stream_flushes_cumulative_totals(spark, tmp_path):
     query.awaitTermination()
     r = spark.read.parquet(f"{tmp_path}/out").first()
     assert (r.n, r.total, r.batch) == (4, 6.0, 1)
+
+
+def test_pages_shuffle_values_not_elements(spark):
+    from quireflow.plans.queries import QUERIES
+
+    plan = QUERIES["page_xml_out"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    collected = [line for line in plan.splitlines() if "collect_list(struct(region_idx" in line]
+    assert collected and not any("TextRegion_" in line.split("AS rs#")[0] for line in collected)
