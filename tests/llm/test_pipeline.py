@@ -6,8 +6,10 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from quireflow.llm import common
 from quireflow.llm.common import stored
 from quireflow.llm.language import learn, predict
+from quireflow.llm.quality_rules import apply_rules
 from quireflow.llm.simhash import sketch, sketch_radius
 
 from .test_line_dedup import alike, norm
@@ -97,3 +99,13 @@ def test_one_id_with_two_texts_is_two_documents(spark):
     got = near(spark, spark.createDataFrame(rows, "doc_id long, text string, _text_hash string"), "").select("doc_id", "text").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(0, one), (0, one), (7, one), (7, two), (9, "")])
     assert near(spark, spark.createDataFrame([], "doc_id long, text string"), "").count() == 0
+
+
+def test_quality_stage_writes_no_copy(spark):
+    """A copy of the documents would lie on disk through all later stages."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    before = set(common._kept)
+    out = dict(cp.STAGES)["quality_rules"](spark, docs, "")
+    got = {r.doc_id for r in out.collect()}
+    assert out.columns == docs.columns and got == {r.doc_id for r in apply_rules(docs).collect() if r.measures.kept} and got
+    assert set(common._kept) == before
