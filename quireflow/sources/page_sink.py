@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Row
@@ -29,9 +30,19 @@ def region_rows(readings: DataFrame, tags: DataFrame, links: DataFrame) -> DataF
     tags: (image_name, region_idx, label, start, end); links: (image_name, region_idx, link_idx, text, label, geoname_ids).
     """
     key = ["image_name", "region_idx"]
-    spans = tags.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "label"))).alias("s"))
-    linked = links.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("link_idx", "text", "label", "geoname_ids"))).alias("l"))
-    met = readings.join(spans, key, "left").join(linked, key, "left")
+    # three kinds of rows and one aggregate: nothing is moved for it if the inputs are dealt by image alike, and they share what they are made of
+    parts = {
+        "r": (readings, F.struct(*[c for c in readings.columns if c not in key])),
+        "s": (tags, F.struct("start", "end", "label")),
+        "l": (links, F.struct("link_idx", "text", "label", "geoname_ids")),
+    }
+    types = {name: df.select(of.alias(name)).schema[name].dataType for name, (df, of) in parts.items()}
+    rows = [df.select(*key, *[(of if n == name else F.lit(None)).cast(t).alias(n) for n, t in types.items()]) for name, (df, of) in parts.items()]
+    met = reduce(lambda x, y: x.union(y), rows).groupBy(*key).agg(F.collect_list("r").alias("rs"), *[F.array_sort(F.collect_list(n)).alias(n) for n in "sl"])
+    # a null key equals none
+    known = F.col("image_name").isNotNull() & F.col("region_idx").isNotNull()
+    kept = [F.col(c).cast(readings.schema[c].dataType).alias(c) for c in key]
+    met = met.select(*kept, *[F.when(known, F.col(n)).alias(n) for n in "sl"], F.explode("rs").alias("r")).select(*key, "r.*", "s", "l")
     own = F.transform(F.coalesce("s", F.array().cast("array<struct<start:int,end:int,label:string>>")), lambda x: F.struct(x["label"].alias("label"), x["start"].alias("start"), x["end"].alias("end")))
     found = F.transform(F.coalesce("l", F.array().cast("array<struct<link_idx:int,text:string,label:string,geoname_ids:array<bigint>>>")), lambda x: F.struct(x["text"].alias("text"), x["label"].alias("label"), x["geoname_ids"].alias("geoname_ids")))
     return met.select(*readings.columns, own.alias("spans"), found.alias("links"))

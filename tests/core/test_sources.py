@@ -3,7 +3,7 @@ import xml.etree.ElementTree as ET
 
 from quireflow.config import TAG_LABELS
 from quireflow.sources.images import first_images, with_truth
-from quireflow.sources.page_sink import append_metrics, page_xml, recognition_json
+from quireflow.sources.page_sink import append_metrics, page_xml, recognition_json, region_rows
 from quireflow.sources.page_xml import page_lines, page_regions, page_tags, read_pages
 from quireflow.streaming.flush import flush_metrics
 
@@ -73,3 +73,25 @@ def test_pages_shuffle_values_not_elements(spark):
     plan = QUERIES["page_xml_out"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     collected = [line for line in plan.splitlines() if "collect_list(struct(region_idx" in line]
     assert collected and not any("TextRegion_" in line.split("AS rs#")[0] for line in collected)
+
+
+def test_regions_are_assembled_without_moving_them_again(spark):
+    """What numbers the regions deals them by image; tags, links and pages need no other exchange, and boxes are made after it."""
+    import re
+
+    from quireflow.plans.queries import QUERIES
+
+    plan = QUERIES["page_xml_out"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange hashpartitioning\((.*?)#", plan)
+    assert set(moved) == {"l_orderkey"} and len(moved) <= 3
+    assert not re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*Project[^\n]*struct\(x", plan)
+
+
+def test_region_rows_keep_repeated_and_keyless_readings(spark):
+    readings = spark.createDataFrame([("a", 0, "one"), ("a", 0, "again"), ("a", 1, "two"), (None, 0, "no image"), ("b", None, "no number")], "image_name string, region_idx int, text string")
+    tags = spark.createDataFrame([("a", 0, "L", 3, 5), ("a", 0, "K", 1, 2), (None, 0, "M", 0, 1), ("b", None, "M", 0, 1), ("c", 0, "M", 0, 1)], "image_name string, region_idx long, label string, start int, end int")
+    links = spark.createDataFrame([("a", 1, 1, "y", "P", [2]), ("a", 1, 0, "x", "P", [1]), (None, 0, 0, "z", "P", [3])], "image_name string, region_idx int, link_idx int, text string, label string, geoname_ids array<bigint>")
+    out = region_rows(readings, tags, links)
+    assert out.columns == ["image_name", "region_idx", "text", "spans", "links"] and out.schema["region_idx"].dataType.simpleString() == "int"
+    got = {r.text: ([s.label for s in r.spans], [x.text for x in r.links]) for r in out.collect()}
+    assert got == {"one": (["K", "L"], []), "again": (["K", "L"], []), "two": ([], ["x", "y"]), "no image": ([], []), "no number": ([], [])}
